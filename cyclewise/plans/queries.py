@@ -33,7 +33,14 @@ def register(name: str, sql: str | None = None):
 
 
 def _r(c, d: int = RND):
-    return F.round(F.col(c) if isinstance(c, str) else c, d)
+    """round(c * 10^d) / 10^d: the same IEEE steps as the SQL twin ``_rs``."""
+    m = float(10 ** d)
+    return F.round((F.col(c) if isinstance(c, str) else c) * F.lit(m)) / F.lit(m)
+
+
+def _rs(expr: str, d: int = RND) -> str:
+    m = float(10 ** d)
+    return f"round(({expr}) * {m!r}) / {m!r}"
 
 
 def _with(sql_body: str, **ctes: str) -> str:
@@ -55,4 +62,96 @@ GROUP BY risk_level""", panel=EVENTS_PANEL_SQL))
 def q_risk_band_counts(spark, sf):
     p = feat.add_rul(events_panel(spark, sf))
     return p.groupBy(risk_level("RUL").alias("risk_level")).agg(F.count(F.lit(1)).alias("n"))
-FLAGSHIP = "risk_band_counts"
+
+
+
+# --- W1-W4, P7: label + lag + rolling features ------------------------------
+def features_sql(panel_sql: str, cols: list[str], ids: list[str], lags=feat.LAGS,
+                 windows=feat.WINDOWS, rul: bool = True, dropna: bool = True, d: int = 4) -> str:
+    """DuckDB twin of ``window_features`` (+ RUL, + drop of incomplete rows)."""
+    part = "PARTITION BY unit_number ORDER BY time_in_cycles"
+    sel = list(ids) + list(cols)
+    if rul:
+        sel.append("CAST(max(time_in_cycles) OVER (PARTITION BY unit_number) - time_in_cycles "
+                   "AS BIGINT) AS RUL")
+    names = []
+    for c in cols:
+        for k in lags:
+            n = feat.lag_name(c, k)
+            sel.append(f"lag({c}, {k}) OVER ({part}) AS {n}")
+            names.append(n)
+    for c in cols:
+        for n in windows:
+            m, s = feat.rolling_names(c, n)
+            fr = f"{part} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+            sel.append(f"avg({c}) OVER ({fr}) AS {m}")
+            sel.append(f"stddev_samp({c}) OVER ({fr}) AS {s}")
+            names += [m, s]
+    inner = f"SELECT {', '.join(sel)} FROM panel"
+    outer = list(ids) + list(cols) + (["RUL"] if rul else []) + \
+        [f"{_rs(n, d)} AS {n}" for n in names]
+    where = ""
+    if dropna:
+        every = list(ids) + list(cols) + (["RUL"] if rul else []) + names
+        where = " WHERE " + " AND ".join(f"{n} IS NOT NULL" for n in every)
+    return _with(f"SELECT {', '.join(outer)} FROM ({inner}) f{where}", panel=panel_sql)
+
+
+def _round_features(df: DataFrame, cols: list[str], lags=feat.LAGS, windows=feat.WINDOWS,
+                    d: int = 4) -> DataFrame:
+    names = set(feat.feature_names(cols, lags, windows))
+    return df.select(*[_r(c, d).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+LI_IDS = ["unit_number", "time_in_cycles"]
+EV_IDS = ["unit_number", "time_in_cycles", "event_id"]
+EV_COLS = ["value", "k"]
+
+
+@register("features_lineitem", features_sql(LINEITEM_PANEL_SQL, LINEITEM_CHANNELS, LI_IDS))
+def q_features_lineitem(spark, sf):
+    p = lineitem_panel(spark, sf)
+    f = feat.build_feature_table(p, LINEITEM_CHANNELS, dense_cycles=True)
+    return _round_features(f, LINEITEM_CHANNELS)
+
+
+@register("features_events", features_sql(EVENTS_PANEL_SQL, EV_COLS, EV_IDS))
+def q_features_events(spark, sf):
+    p = events_panel(spark, sf).drop("ts")
+    f = feat.build_feature_table(p, EV_COLS, dense_cycles=True)
+    return _round_features(f, EV_COLS)
+
+
+@register("lags_events", features_sql(EVENTS_PANEL_SQL, EV_COLS, EV_IDS, windows=[], rul=False,
+                                      dropna=False))
+def q_lags_events(spark, sf):
+    # positions re-derived from the cycle column: exercises the non-dense path
+    p = events_panel(spark, sf).drop("ts")
+    return feat.add_lags(p, EV_COLS, dense_cycles=False)
+
+
+@register("rolling_lineitem", features_sql(LINEITEM_PANEL_SQL, LINEITEM_CHANNELS, LI_IDS, lags=[],
+                                           rul=False, dropna=False))
+def q_rolling_lineitem(spark, sf):
+    p = lineitem_panel(spark, sf)
+    f = feat.add_rolling(p, LINEITEM_CHANNELS, dense_cycles=True)
+    return _round_features(f, LINEITEM_CHANNELS, lags=[])
+
+
+@register("rul_by_join", _with("""
+SELECT p.unit_number, p.time_in_cycles, CAST(m.mx - p.time_in_cycles AS BIGINT) AS RUL
+FROM panel p LEFT JOIN (SELECT unit_number, max(time_in_cycles) AS mx FROM panel GROUP BY 1) m
+  ON p.unit_number = m.unit_number""", panel=LINEITEM_PANEL_SQL))
+def q_rul_by_join(spark, sf):
+    return feat.add_rul(lineitem_panel(spark, sf), method="join") \
+        .select("unit_number", "time_in_cycles", "RUL")
+
+
+@register("rul_by_window", _with("""
+SELECT unit_number, time_in_cycles,
+       CAST(max(time_in_cycles) OVER (PARTITION BY unit_number) - time_in_cycles AS BIGINT) AS RUL
+FROM panel""", panel=EVENTS_PANEL_SQL))
+def q_rul_by_window(spark, sf):
+    return feat.add_rul(events_panel(spark, sf), method="window") \
+        .select("unit_number", "time_in_cycles", "RUL")
+FLAGSHIP = "features_lineitem"

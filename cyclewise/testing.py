@@ -8,49 +8,60 @@ import numpy as np
 import pandas as pd
 
 
-def _norm_value(v, digits: int):
+def _norm_scalar(v, digits):
     if v is None or (isinstance(v, float) and np.isnan(v)):
         return "NULL"
-    if isinstance(v, (pd.Timestamp,)):
-        return str(v.tz_localize(None) if v.tzinfo else v)
     if isinstance(v, (float, np.floating)):
         if np.isinf(v):
             return "inf" if v > 0 else "-inf"
         r = round(float(v), digits)
         return repr(0.0 if r == 0 else r)
-    if isinstance(v, (bool, np.bool_)):
-        return str(bool(v))
-    if isinstance(v, (int, np.integer)):
-        return repr(float(v)) if False else str(int(v))
     if isinstance(v, (list, tuple, np.ndarray)):
-        return "[" + ",".join(_norm_value(x, digits) for x in v) + "]"
+        return "[" + ",".join(_norm_scalar(x, digits) for x in v) + "]"
     if isinstance(v, dict):
-        return "{" + ",".join(f"{k}:{_norm_value(x, digits)}" for k, x in sorted(v.items())) + "}"
+        return "{" + ",".join(f"{k}:{_norm_scalar(x, digits)}" for k, x in sorted(v.items())) + "}"
+    if isinstance(v, pd.Timestamp):
+        return str(v.tz_localize(None) if v.tzinfo else v)
     return str(v)
 
 
-def frame_digest(df: pd.DataFrame, digits: int = 4) -> tuple[list[str], int, str]:
+def _norm_column(s: pd.Series, digits: int) -> pd.Series:
+    if pd.api.types.is_float_dtype(s):
+        a = s.to_numpy(dtype="float64", na_value=np.nan)
+        r = np.round(a, digits) + 0.0
+        out = pd.Series([repr(x) for x in r.tolist()], index=s.index)
+        out[np.isnan(a)] = "NULL"
+        out[np.isposinf(a)] = "inf"
+        out[np.isneginf(a)] = "-inf"
+        return out
+    if pd.api.types.is_integer_dtype(s) or pd.api.types.is_bool_dtype(s):
+        return s.astype("object").map(lambda v: "NULL" if pd.isna(v) else str(int(v)))
+    return s.map(lambda v: _norm_scalar(v, digits))
+
+
+def normalized_rows(df: pd.DataFrame, digits: int = 4) -> tuple[list[str], list[str]]:
     cols = sorted(df.columns)
-    rows = sorted("|".join(_norm_value(r[c], digits) for c in cols)
-                  for r in df[cols].to_dict("records"))
-    h = hashlib.sha256("\n".join(rows).encode()).hexdigest()
-    return cols, len(rows), h
+    if not len(df):
+        return cols, []
+    parts = [_norm_column(df[c].reset_index(drop=True), digits) for c in cols]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows + "|" + p
+    return cols, sorted(rows.tolist())
 
 
 def compare_frames(a: pd.DataFrame, b: pd.DataFrame, digits: int = 4) -> tuple[bool, str]:
-    ca, na, ha = frame_digest(a, digits)
-    cb, nb, hb = frame_digest(b, digits)
+    ca, ra = normalized_rows(a, digits)
+    cb, rb = normalized_rows(b, digits)
     if ca != cb:
         return False, f"columns differ: {ca} vs {cb}"
-    if na != nb:
-        return False, f"rows differ: {na} vs {nb}"
+    if len(ra) != len(rb):
+        return False, f"rows differ: {len(ra)} vs {len(rb)}"
+    ha = hashlib.sha256("\n".join(ra).encode()).hexdigest()
+    hb = hashlib.sha256("\n".join(rb).encode()).hexdigest()
     if ha != hb:
-        # locate a differing row for the message
-        cols = ca
-        ra = sorted("|".join(_norm_value(r[c], digits) for c in cols) for r in a[cols].to_dict("records"))
-        rb = sorted("|".join(_norm_value(r[c], digits) for c in cols) for r in b[cols].to_dict("records"))
+        bad = sum(x != y for x, y in zip(ra, rb))
         for x, y in zip(ra, rb):
             if x != y:
-                return False, f"values differ, e.g. {x[:200]} vs {y[:200]}"
-        return False, "values differ"
-    return True, f"rows={na}"
+                return False, f"{bad} rows differ, e.g. {x[:300]} vs {y[:300]}"
+    return True, f"rows={len(ra)}"
