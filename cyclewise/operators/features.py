@@ -20,13 +20,17 @@ DEFAULT_BLOCK_ROWS = 1 << 18
 
 
 def add_rul(df: DataFrame, unit: str = UNIT, cycle: str = CYCLE, target: str = TARGET,
-            method: str = "join") -> DataFrame:
+            method: str = "join", max_col: str | None = None) -> DataFrame:
     """RUL = max(cycle) of the unit - cycle.
 
     ``join`` (default) pre-aggregates max per unit map-side and joins it back;
     AQE broadcasts the per-unit table when its measured size allows and splits
     skewed partitions otherwise. ``window`` is the single-window form.
+    ``max_col`` names a column that already holds the unit's last cycle (e.g.
+    the row count from ``with_position``); it is used and dropped.
     """
+    if max_col is not None:
+        return df.withColumn(target, (F.col(max_col) - F.col(cycle)).cast("long")).drop(max_col)
     if method == "window":
         return df.withColumn(target, (F.max(cycle).over(Window.partitionBy(unit)) - F.col(cycle))
                              .cast("long"))
@@ -111,8 +115,9 @@ def drop_incomplete(df: DataFrame, observe: bool = False):
 
 def build_feature_table(df: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
                         unit: str = UNIT, cycle: str = CYCLE, dense_cycles: bool = False,
-                        block_rows: int = DEFAULT_BLOCK_ROWS, dropna: bool = True) -> DataFrame:
+                        block_rows: int = DEFAULT_BLOCK_ROWS, dropna: bool = True,
+                        max_col: str | None = None) -> DataFrame:
     """RUL + lags + rolling stats, then drop incomplete rows: the training table."""
-    out = window_features(add_rul(df, unit, cycle), cols, lags, windows, unit, cycle,
-                          dense_cycles, block_rows)
+    out = window_features(add_rul(df, unit, cycle, max_col=max_col), cols, lags, windows, unit,
+                          cycle, dense_cycles, block_rows)
     return out.na.drop("any") if dropna else out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cyclewise.functions.risk import risk_level
 from cyclewise.operators import features as feat
 from cyclewise.sources.panels import (EVENTS_PANEL_SQL, LINEITEM_CHANNELS, LINEITEM_PANEL_SQL,
-                                      events_panel, lineitem_panel)
+                                      MAX_CYCLE, events_panel, lineitem_panel)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,7 +60,7 @@ FROM (SELECT {RISK_SQL.format(p='RUL')} AS risk_level
             FROM panel))
 GROUP BY risk_level""", panel=EVENTS_PANEL_SQL))
 def q_risk_band_counts(spark, sf):
-    p = feat.add_rul(events_panel(spark, sf))
+    p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
     return p.groupBy(risk_level("RUL").alias("risk_level")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -110,15 +110,15 @@ EV_COLS = ["value", "k"]
 
 @register("features_lineitem", features_sql(LINEITEM_PANEL_SQL, LINEITEM_CHANNELS, LI_IDS))
 def q_features_lineitem(spark, sf):
-    p = lineitem_panel(spark, sf)
-    f = feat.build_feature_table(p, LINEITEM_CHANNELS, dense_cycles=True)
+    p = lineitem_panel(spark, sf, with_max=True)
+    f = feat.build_feature_table(p, LINEITEM_CHANNELS, dense_cycles=True, max_col=MAX_CYCLE)
     return _round_features(f, LINEITEM_CHANNELS)
 
 
 @register("features_events", features_sql(EVENTS_PANEL_SQL, EV_COLS, EV_IDS))
 def q_features_events(spark, sf):
-    p = events_panel(spark, sf).drop("ts")
-    f = feat.build_feature_table(p, EV_COLS, dense_cycles=True)
+    p = events_panel(spark, sf, with_max=True).drop("ts")
+    f = feat.build_feature_table(p, EV_COLS, dense_cycles=True, max_col=MAX_CYCLE)
     return _round_features(f, EV_COLS)
 
 

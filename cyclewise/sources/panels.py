@@ -26,21 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400) -> DataFrame:
+MAX_CYCLE = "_max_cycle"
+
+
+def events_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 86400,
+                 with_max: bool = False) -> DataFrame:
+    """``with_max`` adds ``_max_cycle`` (the unit's last cycle) for ``add_rul(max_col=...)``."""
     ev = table(spark, sf_dir, "events").select(
         F.col("user_id").alias(UNIT), "ts", "event_id", "value",
         F.get_json_object("props", "$.k").cast("double").alias("k"))
-    p = with_position(ev, UNIT, ["ts", "event_id"], time_bucket("ts", bucket_seconds), out=CYCLE)
-    return p.select(UNIT, CYCLE, "event_id", "ts", *EVENT_CHANNELS)
+    p = with_position(ev, UNIT, ["ts", "event_id"], time_bucket("ts", bucket_seconds), out=CYCLE,
+                      total_out=MAX_CYCLE if with_max else None)
+    return p.select(UNIT, CYCLE, "event_id", "ts", *EVENT_CHANNELS,
+                    *([MAX_CYCLE] if with_max else []))
 
 
-def lineitem_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 30 * 86400) -> DataFrame:
+def lineitem_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 30 * 86400,
+                   with_max: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias(UNIT), "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
         *LINEITEM_CHANNELS)
     p = with_position(li, UNIT, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
-                      time_bucket("l_shipdate", bucket_seconds), out=CYCLE)
-    return p.select(UNIT, CYCLE, *LINEITEM_CHANNELS)
+                      time_bucket("l_shipdate", bucket_seconds), out=CYCLE,
+                      total_out=MAX_CYCLE if with_max else None)
+    return p.select(UNIT, CYCLE, *LINEITEM_CHANNELS, *([MAX_CYCLE] if with_max else []))
 
 
 # DuckDB twins of the panels, used as CTEs by the oracle SQL.
