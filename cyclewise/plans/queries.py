@@ -155,3 +155,79 @@ def q_rul_by_window(spark, sf):
     return feat.add_rul(events_panel(spark, sf), method="window") \
         .select("unit_number", "time_in_cycles", "RUL")
 FLAGSHIP = "features_lineitem"
+
+
+# --- W5-W7: null repair ------------------------------------------------------
+from cyclewise.operators import fill as fill_ops  # noqa: E402
+from cyclewise.operators import quality as qual  # noqa: E402
+
+# Nulls made by a rule on the data itself, so SQL can repeat it.
+LI_NULLS_SQL = """SELECT unit_number, time_in_cycles,
+  CASE WHEN l_discount < 0.03 THEN NULL ELSE l_quantity END AS l_quantity,
+  CASE WHEN l_tax > 0.05 THEN NULL ELSE l_extendedprice END AS l_extendedprice
+FROM panel0"""
+EV_NULLS_SQL = """SELECT unit_number, time_in_cycles, event_id,
+  CASE WHEN value < 20 THEN NULL ELSE value END AS value,
+  CASE WHEN k > 80 THEN NULL ELSE k END AS k
+FROM panel0"""
+
+
+def _li_nulls(spark, sf):
+    p = lineitem_panel(spark, sf)
+    return p.select("unit_number", "time_in_cycles",
+                    F.when(F.col("l_discount") < 0.03, None).otherwise(F.col("l_quantity"))
+                    .alias("l_quantity"),
+                    F.when(F.col("l_tax") > 0.05, None).otherwise(F.col("l_extendedprice"))
+                    .alias("l_extendedprice"))
+
+
+def _ev_nulls(spark, sf):
+    p = events_panel(spark, sf)
+    return p.select("unit_number", "time_in_cycles", "event_id",
+                    F.when(F.col("value") < 20, None).otherwise(F.col("value")).alias("value"),
+                    F.when(F.col("k") > 80, None).otherwise(F.col("k")).alias("k"))
+
+
+def _fill_sql(ids, cols, part):
+    sel = list(ids)
+    for c in cols:
+        sel.append(f"coalesce(last_value({c} IGNORE NULLS) OVER ({part} ROWS BETWEEN UNBOUNDED "
+                   f"PRECEDING AND CURRENT ROW), first_value({c} IGNORE NULLS) OVER ({part} ROWS "
+                   f"BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}")
+    return "SELECT " + ", ".join(sel) + " FROM panel"
+
+
+@register("fill_unit_lineitem", _with(
+    _fill_sql(LI_IDS, ["l_quantity", "l_extendedprice"],
+              "PARTITION BY unit_number ORDER BY time_in_cycles"),
+    panel0=LINEITEM_PANEL_SQL, panel=LI_NULLS_SQL))
+def q_fill_unit_lineitem(spark, sf):
+    return fill_ops.fill_nulls(_li_nulls(spark, sf), ["l_quantity", "l_extendedprice"],
+                               scope="unit", dense_cycles=True)
+
+
+@register("fill_table_events", _with(
+    _fill_sql(EV_IDS, ["value", "k"], "ORDER BY unit_number, time_in_cycles"),
+    panel0=EVENTS_PANEL_SQL, panel=EV_NULLS_SQL))
+def q_fill_table_events(spark, sf):
+    return fill_ops.fill_nulls(_ev_nulls(spark, sf), ["value", "k"], scope="table",
+                               dense_cycles=True)
+
+
+@register("fill_unit_blocks_events", _with(
+    _fill_sql(EV_IDS, ["value", "k"], "PARTITION BY unit_number ORDER BY time_in_cycles"),
+    panel0=EVENTS_PANEL_SQL, panel=EV_NULLS_SQL))
+def q_fill_unit_blocks_events(spark, sf):
+    # positions re-derived and 16-row blocks: exercises the cross-block carry
+    return fill_ops.fill_nulls(_ev_nulls(spark, sf), ["value", "k"], scope="unit",
+                               dense_cycles=False, block_rows=16)
+
+
+@register("fill_remaining_lineitem", _with("""
+SELECT unit_number, time_in_cycles, coalesce(l_quantity, 0) AS l_quantity,
+       coalesce(l_extendedprice, 0) AS l_extendedprice,
+       coalesce(CAST(NULL AS DOUBLE), 0) AS all_null
+FROM panel""", panel0=LINEITEM_PANEL_SQL, panel=LI_NULLS_SQL))
+def q_fill_remaining_lineitem(spark, sf):
+    df = _li_nulls(spark, sf).withColumn("all_null", F.lit(None).cast("double"))
+    return fill_ops.fill_remaining(df, ["l_quantity", "l_extendedprice", "all_null"])
