@@ -231,3 +231,148 @@ FROM panel""", panel0=LINEITEM_PANEL_SQL, panel=LI_NULLS_SQL))
 def q_fill_remaining_lineitem(spark, sf):
     df = _li_nulls(spark, sf).withColumn("all_null", F.lit(None).cast("double"))
     return fill_ops.fill_remaining(df, ["l_quantity", "l_extendedprice", "all_null"])
+
+
+# --- P2-P6, P11-P14, S2: data quality -----------------------------------------
+LI_RANGES = {"l_quantity": (5.0, 45.0), "l_discount": (0.01, 0.09), "l_tax": (0.0, 0.06)}
+
+
+@register("clip_ranges_lineitem", _with("""
+SELECT unit_number, time_in_cycles,
+  CASE WHEN l_quantity IS NULL THEN NULL ELSE greatest(5.0, least(45.0, l_quantity)) END AS l_quantity,
+  l_extendedprice,
+  CASE WHEN l_discount IS NULL THEN NULL ELSE greatest(0.01, least(0.09, l_discount)) END AS l_discount,
+  CASE WHEN l_tax IS NULL THEN NULL ELSE greatest(0.0, least(0.06, l_tax)) END AS l_tax
+FROM panel""", panel=LINEITEM_PANEL_SQL))
+def q_clip_ranges_lineitem(spark, sf):
+    return qual.clip_ranges(lineitem_panel(spark, sf), LI_RANGES)
+
+
+@register("out_of_range_lineitem", """
+SELECT CAST(count(*) FILTER (WHERE l_quantity < 5.0 OR l_quantity > 45.0) AS BIGINT) AS l_quantity,
+       CAST(count(*) FILTER (WHERE l_discount < 0.01 OR l_discount > 0.09) AS BIGINT) AS l_discount,
+       CAST(count(*) FILTER (WHERE l_tax < 0.0 OR l_tax > 0.06) AS BIGINT) AS l_tax
+FROM lineitem""")
+def q_out_of_range_lineitem(spark, sf):
+    from cyclewise.sources.panels import table
+    return qual.count_out_of_range(table(spark, sf, "lineitem"), LI_RANGES)
+
+
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"]
+
+
+def _orders(spark, sf):
+    from cyclewise.sources.panels import table
+    o = table(spark, sf, "orders")
+    return o.select(*[c for c in ORDERS_COLS if c in o.columns])
+
+
+@register("constant_columns_lineitem_flags", """
+SELECT column_name, is_constant FROM (
+  SELECT 'l_returnflag' AS column_name, coalesce(min(l_returnflag) = max(l_returnflag), false) AS is_constant FROM lineitem
+  UNION ALL SELECT 'l_linestatus', coalesce(min(l_linestatus) = max(l_linestatus), false) FROM lineitem
+  UNION ALL SELECT 'l_linenumber', coalesce(min(l_linenumber) = max(l_linenumber), false) FROM lineitem
+  UNION ALL SELECT 'l_tax', coalesce(min(l_tax) = max(l_tax), false) FROM lineitem)""")
+def q_constant_columns(spark, sf):
+    from cyclewise.sources.panels import table
+    return qual.constant_report(table(spark, sf, "lineitem"),
+                                ["l_returnflag", "l_linestatus", "l_linenumber", "l_tax"])
+
+
+@register("profile_events", """
+SELECT column_name, dtype, null_count, row_count, distinct_units FROM (
+  SELECT 'event_id' AS column_name, 'bigint' AS dtype, CAST(count(*) FILTER (WHERE event_id IS NULL) AS BIGINT) AS null_count FROM events
+  UNION ALL SELECT 'ts', 'timestamp_ntz', CAST(count(*) FILTER (WHERE ts IS NULL) AS BIGINT) FROM events
+  UNION ALL SELECT 'user_id', 'bigint', CAST(count(*) FILTER (WHERE user_id IS NULL) AS BIGINT) FROM events
+  UNION ALL SELECT 'event_type', 'string', CAST(count(*) FILTER (WHERE event_type IS NULL) AS BIGINT) FROM events
+  UNION ALL SELECT 'value', 'double', CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) FROM events
+  UNION ALL SELECT 'props', 'string', CAST(count(*) FILTER (WHERE props IS NULL) AS BIGINT) FROM events) c,
+  (SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(count(DISTINCT user_id) AS BIGINT) AS distinct_units FROM events) t""")
+def q_profile_events(spark, sf):
+    from cyclewise.sources.panels import table
+    return qual.profile_columns(table(spark, sf, "events"), id_col="user_id")
+
+
+@register("profile_lineitem", _with("""
+SELECT column_name, dtype, null_count, row_count, distinct_units FROM (
+  SELECT 'unit_number' AS column_name, 'bigint' AS dtype, CAST(count(*) FILTER (WHERE unit_number IS NULL) AS BIGINT) AS null_count FROM panel
+  UNION ALL SELECT 'time_in_cycles', 'bigint', CAST(count(*) FILTER (WHERE time_in_cycles IS NULL) AS BIGINT) FROM panel
+  UNION ALL SELECT 'l_quantity', 'double', CAST(count(*) FILTER (WHERE l_quantity IS NULL) AS BIGINT) FROM panel
+  UNION ALL SELECT 'l_extendedprice', 'double', CAST(count(*) FILTER (WHERE l_extendedprice IS NULL) AS BIGINT) FROM panel) c,
+  (SELECT CAST(count(*) AS BIGINT) AS row_count, CAST(count(DISTINCT unit_number) AS BIGINT) AS distinct_units FROM panel) t""",
+    panel0=LINEITEM_PANEL_SQL, panel=LI_NULLS_SQL))
+def q_profile_lineitem(spark, sf):
+    return qual.profile_columns(_li_nulls(spark, sf))
+
+
+@register("duplicates_lineitem_key", """
+SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates
+FROM (SELECT count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)""")
+def q_duplicates_lineitem_key(spark, sf):
+    from cyclewise.sources.panels import table
+    return qual.duplicate_count(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("union_duplicates_events", """
+SELECT CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS duplicates
+FROM (SELECT count(*) AS c FROM (SELECT * FROM events UNION ALL
+      SELECT * FROM events WHERE event_type = 'purchase')
+      GROUP BY event_id, ts, user_id, event_type, value, props)""")
+def q_union_duplicates_events(spark, sf):
+    # O6 union + P12: the table plus a copy of its purchase rows
+    from cyclewise.operators.ranking import union_panels
+    from cyclewise.sources.panels import table
+    ev = table(spark, sf, "events")
+    return qual.duplicate_count(union_panels(ev, ev.filter(F.col("event_type") == "purchase")))
+
+
+@register("drop_duplicates_events", """
+SELECT DISTINCT user_id, event_type FROM events""")
+def q_drop_duplicates_events(spark, sf):
+    from cyclewise.sources.panels import table
+    return qual.drop_duplicates(table(spark, sf, "events").select("user_id", "event_type"))
+
+
+@register("zscore_outliers_events", """
+SELECT event_id, user_id, value FROM events,
+  (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events) st
+WHERE abs(value - m) / s > 3""")
+def q_zscore_outliers_events(spark, sf):
+    from cyclewise.sources.panels import table
+    ev = table(spark, sf, "events").select("event_id", "user_id", "value")
+    return qual.zscore_outliers(ev, "value", k=3.0)
+
+
+@register("slice_first_units_events", _with("""
+SELECT * FROM panel WHERE unit_number IN
+  (SELECT DISTINCT unit_number FROM panel ORDER BY unit_number LIMIT 5)""",
+    panel=EVENTS_PANEL_SQL.replace("event_id, ts, value", "event_id, value")))
+def q_slice_first_units_events(spark, sf):
+    return qual.slice_units(events_panel(spark, sf).drop("ts"), n=5)
+
+
+@register("coerce_events_text", """
+SELECT event_id,
+  CASE WHEN isnan(TRY_CAST(event_type AS DOUBLE)) THEN NULL ELSE TRY_CAST(event_type AS DOUBLE) END AS sensor_1,
+  CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) = floor(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE))
+       THEN CAST(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS BIGINT) END AS unit_number,
+  CASE WHEN isnan(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE)) THEN NULL ELSE TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE) END AS op_setting_1
+FROM events""")
+def q_coerce_events_text(spark, sf):
+    # list-form coercion on text columns: event names are not numbers -> NULL
+    from cyclewise.sources.panels import table
+    ev = table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("sensor_1"),
+        F.get_json_object("props", "$.k").alias("unit_number"),
+        F.col("value").cast("string").alias("op_setting_1"))
+    return qual.coerce_types(ev)
+
+
+@register("drop_all_null_columns_events", """
+SELECT event_id, value FROM events""")
+def q_drop_all_null_columns_events(spark, sf):
+    from cyclewise.sources.panels import table
+    ev = table(spark, sf, "events").select("event_id", "value",
+                                           F.lit(None).cast("double").alias("empty"))
+    return qual.drop_all_null_columns(ev)
