@@ -57,20 +57,14 @@ def feature_names(cols: list[str], lags=LAGS, windows=WINDOWS) -> list[str]:
     return out
 
 
-def window_features(df: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
-                    unit: str = UNIT, cycle: str = CYCLE, dense_cycles: bool = False,
-                    block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Append lag and rolling features of ``cols`` (per unit, in cycle order).
-
-    ``{c}_lag_{k}``: value k rows earlier in the unit, NULL before the start.
-    ``{c}_rolling_mean_{n}`` / ``{c}_rolling_std_{n}``: mean / sample std over the
-    last n rows including the current one (at least 1 row; std NULL on 1 row).
+def halo_window(df: DataFrame, build, halo: int, unit: str = UNIT, cycle: str = CYCLE,
+                dense_cycles: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Evaluate backward-looking window expressions per unit in bounded blocks.
 
-    With ``dense_cycles`` the cycle column already counts rows 1, 2, 3, ... in
-    every unit; otherwise a row position is derived first (skew-safe).
+    ``build(w, pos)`` returns the Column expressions to append, given the window
+    spec ``w`` (partition (unit, block), order by row position) and the position
+    column; every frame must reach at most ``halo`` rows back and none forward.
     """
-    lags, windows = list(lags), list(windows)
-    halo = max([0] + lags + [n - 1 for n in windows])
     base = df
     if dense_cycles:
         pos = F.col(cycle)
@@ -79,22 +73,43 @@ def window_features(df: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
         pos = F.col("_pos")
     zpos = pos - F.lit(1)
     home = F.floor(zpos / F.lit(block_rows))
-    in_halo = (zpos % F.lit(block_rows)) >= F.lit(block_rows - halo)
+    in_halo = (zpos % F.lit(block_rows)) >= F.lit(block_rows - halo) if halo > 0 else F.lit(False)
     rows = base.withColumn("_blk", F.explode(
         F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
     w = Window.partitionBy(unit, "_blk").orderBy(pos)
-    exprs = [F.lag(c, k).over(w).alias(lag_name(c, k)) for c in cols for k in lags]
-    for c in cols:
-        for n in windows:
-            frame = w.rowsBetween(1 - n, 0)
-            m, s = rolling_names(c, n)
-            exprs += [F.avg(c).over(frame).alias(m), F.stddev_samp(c).over(frame).alias(s)]
-    keep = [c for c in df.columns]
-    out = rows.select(*keep, *(["_pos"] if not dense_cycles else []), "_blk", *exprs)
+    exprs = build(w, pos)
+    out = rows.select(*df.columns, *(["_pos"] if not dense_cycles else []), "_blk", *exprs)
     out = out.filter(F.col("_blk") == home).drop("_blk")
     return out if dense_cycles else out.drop("_pos")
 
 
+def window_features(df: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
+                    unit: str = UNIT, cycle: str = CYCLE, dense_cycles: bool = False,
+                    block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Append lag and rolling features of ``cols`` (per unit, in cycle order).
+
+    ``{c}_lag_{k}``: value k rows earlier in the unit, NULL before the start.
+    ``{c}_rolling_mean_{n}`` / ``{c}_rolling_std_{n}``: mean / sample std over the
+    last n rows including the current one (at least 1 row; std NULL on 1 row).
+
+    With ``dense_cycles`` the cycle column already counts rows 1, 2, 3, ... in
+    every unit; otherwise a row position is derived first (skew-safe).
+    """
+    lags, windows = list(lags), list(windows)
+    halo = max([0] + lags + [n - 1 for n in windows])
+
+    def build(w, pos):
+        exprs = [F.lag(c, k).over(w).alias(lag_name(c, k)) for c in cols for k in lags]
+        for c in cols:
+            for n in windows:
+                frame = w.rowsBetween(1 - n, 0)
+                m, s = rolling_names(c, n)
+                exprs += [F.avg(c).over(frame).alias(m), F.stddev_samp(c).over(frame).alias(s)]
+        return exprs
+
+    return halo_window(df, build, halo, unit, cycle, dense_cycles, block_rows)
+
+
 def add_lags(df: DataFrame, cols: list[str], lags=LAGS, **kw) -> DataFrame:
     return window_features(df, cols, lags=lags, windows=[], **kw)
 

@@ -376,3 +376,211 @@ def q_drop_all_null_columns_events(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "value",
                                            F.lit(None).cast("double").alias("empty"))
     return qual.drop_all_null_columns(ev)
+
+
+# --- A1-A10, P15, P16, J3, O1, O2: metrics and reports -------------------------
+from cyclewise.operators import aggregates as agg  # noqa: E402
+from cyclewise.operators import ranking  # noqa: E402
+from cyclewise.operators.forecast import NAIVE_MODELS, naive_forecasts  # noqa: E402
+
+D4 = 4
+
+
+def _round_all(df: DataFrame, d: int = D4) -> DataFrame:
+    dbl = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
+    return df.select(*[_r(c, d).alias(c) if c in dbl else F.col(c) for c in df.columns])
+
+
+def _round_sql(select_body: str, cols: list[str], keep: list[str] = (), d: int = D4) -> str:
+    outs = list(keep) + [f"{_rs(c, d)} AS {c}" for c in cols]
+    return f"SELECT {', '.join(outs)} FROM ({select_body}) r"
+
+
+MODELS = list(NAIVE_MODELS)
+METRIC_COLS = ["mse", "rmse", "mae", "r2", "mape", "smape", "max_error", "min_error", "std_error"]
+
+
+def _forecast_sql(src="panel", y="value"):
+    part = "PARTITION BY unit_number ORDER BY time_in_cycles"
+    sel = [f"avg({y}) OVER ({part} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING) AS {m}_rul"
+           for m, n in NAIVE_MODELS.items()]
+    return f"SELECT unit_number, time_in_cycles, {y}, {', '.join(sel)} FROM {src}"
+
+
+def _metrics_sql(y: str, p: str, src: str, group: str | None = None) -> str:
+    g = f"{group}, " if group else ""
+    body = f"""SELECT {g}avg(e*e) AS mse, sqrt(avg(e*e)) AS rmse, avg(abs(e)) AS mae,
+  CASE WHEN var_pop({y})*count(*) = 0 THEN (CASE WHEN sum(e*e) = 0 THEN 1.0 ELSE 0.0 END)
+       ELSE 1 - sum(e*e)/(var_pop({y})*count(*)) END AS r2,
+  CASE WHEN count(*) FILTER (WHERE {y} <> 0) > 0
+       THEN avg(CASE WHEN {y} <> 0 THEN abs(e)/abs({y}) END)*100 ELSE 'inf'::DOUBLE END AS mape,
+  100*avg(2*abs(e)/(abs({y})+abs({p})+1e-8)) AS smape,
+  max(abs(e)) AS max_error, min(abs(e)) AS min_error, stddev_pop(e) AS std_error
+FROM (SELECT *, {y} - {p} AS e FROM {src} WHERE {y} IS NOT NULL AND {p} IS NOT NULL) x
+{('GROUP BY ' + group) if group else ''}"""
+    return _round_sql(body, METRIC_COLS, keep=[group] if group else [])
+
+
+def _ev_forecasts(spark, sf):
+    p = events_panel(spark, sf).select("unit_number", "time_in_cycles", "value")
+    return naive_forecasts(p, "value", dense_cycles=True)
+
+
+@register("regression_metrics", _with(_metrics_sql("value", "mean5_rul", "fc"),
+                                      panel=EVENTS_PANEL_SQL, fc=_forecast_sql()))
+def q_regression_metrics(spark, sf):
+    return _round_all(agg.regression_metrics(_ev_forecasts(spark, sf), "value", "mean5_rul"))
+
+
+@register("training_metrics_lineitem", _with(
+    "SELECT mse, rmse, mae, r2 FROM (" + _metrics_sql("l_quantity", "last_rul", "fc") + ") m",
+    panel=LINEITEM_PANEL_SQL, fc=_forecast_sql(y="l_quantity")))
+def q_training_metrics_lineitem(spark, sf):
+    p = lineitem_panel(spark, sf).select("unit_number", "time_in_cycles", "l_quantity")
+    fc = naive_forecasts(p, "l_quantity", dense_cycles=True)
+    return _round_all(agg.training_metrics(fc, "l_quantity", "last_rul"))
+
+
+_ENS_SQL = ("CASE WHEN " + " + ".join(f"CAST({m}_rul IS NOT NULL AS INT)" for m in MODELS) +
+            " > 0 THEN (" + " + ".join(f"coalesce({m}_rul, 0)" for m in MODELS) + ") / (" +
+            " + ".join(f"CAST({m}_rul IS NOT NULL AS INT)" for m in MODELS) + ") END")
+
+
+@register("compare_models_events", _with(_round_sql(
+    f"SELECT *, {_ENS_SQL} AS ensemble_rul FROM fc",
+    [f"{m}_rul" for m in MODELS] + ["ensemble_rul"], keep=["unit_number", "time_in_cycles", "value"]),
+    panel=EVENTS_PANEL_SQL, fc=_forecast_sql()))
+def q_compare_models_events(spark, sf):
+    return _round_all(agg.ensemble_mean(_ev_forecasts(spark, sf)))
+
+
+_LONG_SQL = " UNION ALL ".join(
+    f"SELECT '{m}' AS model, {i + 1} AS model_order, value, {m}_rul AS p FROM fc"
+    for i, m in enumerate(MODELS))
+_BY_MODEL_SQL = _metrics_sql("value", "p", "lp", group="model, model_order")
+
+
+@register("metrics_by_model", _with(_BY_MODEL_SQL, panel=EVENTS_PANEL_SQL, fc=_forecast_sql(),
+                                    lp=_LONG_SQL))
+def q_metrics_by_model(spark, sf):
+    return _round_all(agg.metrics_by_model(_ev_forecasts(spark, sf), "value", MODELS))
+
+
+@register("evaluation_summary", _with(_round_sql(
+    "SELECT CAST(count(*) AS BIGINT) AS total_models_evaluated, avg(rmse) AS avg_rmse, "
+    "avg(r2) AS avg_r2, min(rmse) AS best_rmse, max(r2) AS best_r2 FROM bm",
+    ["avg_rmse", "avg_r2", "best_rmse", "best_r2"], keep=["total_models_evaluated"]),
+    panel=EVENTS_PANEL_SQL, fc=_forecast_sql(), lp=_LONG_SQL, bm=_BY_MODEL_SQL))
+def q_evaluation_summary(spark, sf):
+    m = agg.metrics_by_model(_ev_forecasts(spark, sf), "value", MODELS)
+    return _round_all(agg.evaluation_summary(m))
+
+
+@register("best_model", _with("""
+SELECT model AS name, rmse, r2,
+  CASE WHEN r2 > 0.9 THEN 'Excellent performance! ' || model || ' achieves R2 > 0.9'
+       WHEN r2 > 0.7 THEN 'Good performance. Consider feature engineering to improve ' || model
+       ELSE 'Consider additional feature engineering or trying ensemble methods' END AS recommendation
+FROM bm ORDER BY rmse, model_order LIMIT 1""",
+    panel=EVENTS_PANEL_SQL, fc=_forecast_sql(), lp=_LONG_SQL, bm=_BY_MODEL_SQL))
+def q_best_model(spark, sf):
+    m = _round_all(agg.metrics_by_model(_ev_forecasts(spark, sf), "value", MODELS))
+    return agg.best_model(m)
+
+
+@register("leaderboard", _with("""
+SELECT *, CAST(row_number() OVER (ORDER BY r2 DESC, model) AS BIGINT) AS rank FROM bm""",
+    panel=EVENTS_PANEL_SQL, fc=_forecast_sql(), lp=_LONG_SQL, bm=_BY_MODEL_SQL))
+def q_leaderboard(spark, sf):
+    m = _round_all(agg.metrics_by_model(_ev_forecasts(spark, sf), "value", MODELS))
+    return ranking.leaderboard(m, "r2")
+
+
+@register("prediction_stats", _with(_round_sql("""
+SELECT CAST(count(*) AS BIGINT) AS total_records, avg(p) AS mean_rul, min(p) AS min_rul,
+  max(p) AS max_rul, stddev_pop(p) AS std_rul,
+  CAST(count(*) FILTER (WHERE p < 20) AS BIGINT) AS critical_count,
+  CAST(count(*) FILTER (WHERE p >= 20 AND p < 50) AS BIGINT) AS high_risk_count,
+  CAST(count(*) FILTER (WHERE p >= 50 AND p < 100) AS BIGINT) AS medium_risk_count,
+  CAST(count(*) FILTER (WHERE p >= 100) AS BIGINT) AS low_risk_count
+FROM (SELECT mean5_rul AS p FROM fc WHERE mean5_rul IS NOT NULL)""",
+    ["mean_rul", "min_rul", "max_rul", "std_rul"],
+    keep=["total_records", "critical_count", "high_risk_count", "medium_risk_count",
+          "low_risk_count"]), panel=EVENTS_PANEL_SQL, fc=_forecast_sql()))
+def q_prediction_stats(spark, sf):
+    fc = _ev_forecasts(spark, sf).filter(F.col("mean5_rul").isNotNull())
+    return _round_all(agg.prediction_stats(fc, "mean5_rul"))
+
+
+def _hist_sql(src: str, col: str, bins: int = 50) -> str:
+    return f"""SELECT CAST(b.i AS BIGINT) AS bin, {_rs(f'lo + b.i * w', 6)} AS bin_start,
+  {_rs(f'lo + (b.i + 1) * w', 6)} AS bin_end, CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM (SELECT min({col}) AS lo, max({col}) AS hi,
+             CASE WHEN max({col}) > min({col}) THEN (max({col}) - min({col})) / {bins}.0 ELSE 1.0 END AS w
+      FROM {src}) s
+CROSS JOIN range({bins}) b(i)
+LEFT JOIN (SELECT CASE WHEN x = hi THEN {bins - 1} ELSE CAST(floor((x - lo) / w) AS BIGINT) END AS bin,
+                  count(*) AS n
+           FROM (SELECT {col} AS x FROM {src} WHERE {col} IS NOT NULL),
+                (SELECT min({col}) AS lo, max({col}) AS hi,
+                        CASE WHEN max({col}) > min({col}) THEN (max({col}) - min({col})) / {bins}.0 ELSE 1.0 END AS w
+                 FROM {src}) s2
+           GROUP BY 1) c ON c.bin = b.i"""
+
+
+def _round_hist(df):
+    return df.select("bin", _r("bin_start", 6).alias("bin_start"), _r("bin_end", 6).alias("bin_end"),
+                     "count")
+
+
+@register("histogram_rul", _with(_hist_sql("rp", "CAST(RUL AS DOUBLE)"), panel=LINEITEM_PANEL_SQL,
+                                 rp="SELECT max(time_in_cycles) OVER (PARTITION BY unit_number) "
+                                    "- time_in_cycles AS RUL FROM panel"))
+def q_histogram_rul(spark, sf):
+    p = feat.add_rul(lineitem_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
+    return _round_hist(agg.histogram(p.select(F.col("RUL").cast("double").alias("RUL")), "RUL"))
+
+
+@register("residual_histogram", _with(_hist_sql("res", "residual", 20), panel=EVENTS_PANEL_SQL,
+                                      fc=_forecast_sql(),
+                                      res="SELECT value - mean5_rul AS residual FROM fc"))
+def q_residual_histogram(spark, sf):
+    r = agg.residuals(_ev_forecasts(spark, sf), "value", "mean5_rul")
+    return _round_hist(agg.histogram(r.select("residual"), "residual", 20))
+
+
+_CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("correlation_lineitem", "SELECT col_a, col_b, " + _rs("corr", D4) + " AS corr FROM (" +
+          " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS corr "
+                             f"FROM lineitem" for a in _CORR_COLS for b in _CORR_COLS) + ")")
+def q_correlation_lineitem(spark, sf):
+    from cyclewise.sources.panels import table
+    return _round_all(agg.correlation_matrix(table(spark, sf, "lineitem"), _CORR_COLS))
+
+
+@register("dataset_overview", _with("""
+SELECT CAST(count(*) AS BIGINT) AS samples, CAST(4 AS BIGINT) AS features,
+       CAST(count(DISTINCT unit_number) AS BIGINT) AS units FROM panel""", panel=LINEITEM_PANEL_SQL))
+def q_dataset_overview(spark, sf):
+    return agg.dataset_overview(lineitem_panel(spark, sf))
+
+
+@register("truth_total", _with("""
+SELECT CAST(sum(mx) AS BIGINT) AS total_rul
+FROM (SELECT max(time_in_cycles) AS mx FROM panel GROUP BY unit_number)""", panel=EVENTS_PANEL_SQL))
+def q_truth_total(spark, sf):
+    # truth table: one value per unit, its life length (RUL one cycle before the first)
+    p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
+    per_unit = p.groupBy("unit_number").agg((F.max("RUL") + 1).alias("RUL"))
+    return agg.truth_total(per_unit)
+
+
+@register("prediction_trace", _with(_round_sql(
+    "SELECT unit_number, time_in_cycles, value, mean5_rul FROM fc "
+    "ORDER BY unit_number, time_in_cycles LIMIT 200", ["mean5_rul"],
+    keep=["unit_number", "time_in_cycles", "value"]), panel=EVENTS_PANEL_SQL, fc=_forecast_sql()))
+def q_prediction_trace(spark, sf):
+    fc = _ev_forecasts(spark, sf).select("unit_number", "time_in_cycles", "value", "mean5_rul")
+    return _round_all(ranking.prediction_trace(fc, 200))
