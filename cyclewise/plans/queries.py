@@ -44,6 +44,8 @@ def _rs(expr: str, d: int = RND) -> str:
 
 
 def _with(sql_body: str, **ctes: str) -> str:
+    if not ctes:
+        return sql_body
     head = ",\n".join(f"{k} AS ({v})" for k, v in ctes.items())
     return f"WITH {head}\n{sql_body}"
 
@@ -584,3 +586,80 @@ def q_truth_total(spark, sf):
 def q_prediction_trace(spark, sf):
     fc = _ev_forecasts(spark, sf).select("unit_number", "time_in_cycles", "value", "mean5_rul")
     return _round_all(ranking.prediction_trace(fc, 200))
+
+
+# --- O7, O8, M1, M2: splits and scaling ------------------------------------------
+from cyclewise.operators import scale as scl  # noqa: E402
+from cyclewise.operators import split as spl  # noqa: E402
+
+_LI_KEY = ["unit_number", "time_in_cycles"]
+_H = spl.split_hash_sql(_LI_KEY)
+
+
+@register("split_hash_lineitem", _with(f"""
+SELECT unit_number, time_in_cycles, CASE WHEN {_H} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+FROM panel""", panel=LINEITEM_PANEL_SQL))
+def q_split_hash_lineitem(spark, sf):
+    return spl.hash_split(lineitem_panel(spark, sf).select(*_LI_KEY), _LI_KEY)
+
+
+@register("split_hash_exact_events", _with(f"""
+SELECT event_id, CASE WHEN row_number() OVER (ORDER BY {spl.split_hash_sql(['event_id'])}, event_id)
+                      <= ceil(count(*) OVER () * 0.2) THEN 'test' ELSE 'train' END AS split
+FROM events"""))
+def q_split_hash_exact_events(spark, sf):
+    from cyclewise.sources.panels import table
+    ev = table(spark, sf, "events").select("event_id")
+    return spl.hash_split(ev, ["event_id"], exact=True)
+
+
+@register("split_tail_table_lineitem", _with("""
+SELECT unit_number, time_in_cycles,
+  CASE WHEN row_number() OVER (ORDER BY unit_number, time_in_cycles) <= floor(count(*) OVER () * 0.8)
+       THEN 'train' ELSE 'test' END AS split
+FROM panel""", panel=LINEITEM_PANEL_SQL))
+def q_split_tail_table_lineitem(spark, sf):
+    return spl.tail_split(lineitem_panel(spark, sf).select(*_LI_KEY), 0.2, scope="table")
+
+
+@register("split_tail_unit_events", _with("""
+SELECT unit_number, time_in_cycles,
+  CASE WHEN time_in_cycles <= floor(count(*) OVER (PARTITION BY unit_number) * 0.8)
+       THEN 'train' ELSE 'test' END AS split
+FROM panel""", panel=EVENTS_PANEL_SQL))
+def q_split_tail_unit_events(spark, sf):
+    return spl.tail_split(events_panel(spark, sf).select(*_LI_KEY), 0.2, scope="unit")
+
+
+def _scale_sql(kind: str) -> str:
+    cols = LINEITEM_CHANNELS
+    if kind == "standard":
+        st = ", ".join(f"avg({c}) AS a_{c}, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 "
+                       f"ELSE stddev_pop({c}) END AS b_{c}" for c in cols)
+    else:
+        st = ", ".join(f"min({c}) AS a_{c}, CASE WHEN max({c}) = min({c}) OR max({c}) IS NULL "
+                       f"THEN 1.0 ELSE max({c}) - min({c}) END AS b_{c}" for c in cols)
+    body = (f"SELECT p.unit_number, p.time_in_cycles, p.split, " +
+            ", ".join(f"(p.{c} - s.a_{c}) / s.b_{c} AS {c}" for c in cols) +
+            f" FROM sp p, (SELECT {st} FROM sp WHERE split = 'train') s")
+    return _with(_round_sql(body, cols, keep=["unit_number", "time_in_cycles", "split"], d=6),
+                 panel=LINEITEM_PANEL_SQL,
+                 sp=f"SELECT *, CASE WHEN {_H} % 100 < 20 THEN 'test' ELSE 'train' END AS split "
+                    f"FROM panel")
+
+
+def _scaled(spark, sf, fn):
+    p = spl.hash_split(lineitem_panel(spark, sf), _LI_KEY)
+    s = fn(p, LINEITEM_CHANNELS, fit=p.filter(F.col("split") == "train"))
+    return s.select("unit_number", "time_in_cycles", "split",
+                    *[_r(c, 6).alias(c) for c in LINEITEM_CHANNELS])
+
+
+@register("standard_scale_lineitem", _scale_sql("standard"))
+def q_standard_scale_lineitem(spark, sf):
+    return _scaled(spark, sf, scl.standard_scale)
+
+
+@register("minmax_scale_lineitem", _scale_sql("minmax"))
+def q_minmax_scale_lineitem(spark, sf):
+    return _scaled(spark, sf, scl.minmax_scale)
