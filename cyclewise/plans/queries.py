@@ -663,3 +663,47 @@ def q_standard_scale_lineitem(spark, sf):
 @register("minmax_scale_lineitem", _scale_sql("minmax"))
 def q_minmax_scale_lineitem(spark, sf):
     return _scaled(spark, sf, scl.minmax_scale)
+
+
+# --- M3-M12: models (no SQL twin: the driver's rows-only check + our tests) ----
+def _event_training(spark, sf):
+    from cyclewise.plans.training import feature_table, split_table
+    p = events_panel(spark, sf, with_max=True).drop("ts", "event_id")
+    ft, fcols = feature_table(p, EV_COLS, dense_cycles=True, max_col=MAX_CYCLE)
+    train, test = split_table(ft)
+    return train, test, fcols
+
+
+def _metrics_out(metrics):
+    return _round_all(metrics.select("model", "rmse", "mae", "r2"))
+
+
+@register("train_score_events")
+def q_train_score_events(spark, sf):
+    """Linear, ridge, lasso and random forest on the events feature table; test metrics."""
+    from cyclewise.ml import models as mdl
+    train, test, fcols = _event_training(spark, sf)
+    models = mdl.train_all(train, fcols, ["linear_regression", "ridge", "lasso", "random_forest"])
+    return _metrics_out(mdl.evaluate_all(models, test))
+
+
+@register("train_boosting_svr_events")
+def q_train_boosting_svr_events(spark, sf):
+    from cyclewise.ml import models as mdl
+    train, test, fcols = _event_training(spark, sf)
+    models = mdl.train_all(train, fcols, ["gradient_boosting", "svr"])
+    return _metrics_out(mdl.evaluate_all(models, test))
+
+
+@register("batch_score_events")
+def q_batch_score_events(spark, sf):
+    """Fit ridge on the training split, then score every complete row of the raw panel
+    through one serving PipelineModel (features + scaler + regressor)."""
+    from cyclewise.ml import models as mdl
+    from cyclewise.plans.scoring import score
+    from cyclewise.plans.training import serving_model
+    train, _, fcols = _event_training(spark, sf)
+    fitted = mdl.train_all(train, fcols, ["ridge"])["ridge"]
+    serving = serving_model(fitted, EV_COLS, dense_cycles=True)
+    raw = events_panel(spark, sf).drop("ts", "event_id")
+    return score(serving, raw, "ridge", run_ts="run")

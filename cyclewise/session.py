@@ -26,6 +26,9 @@ def get_spark(master: str | None = None, app: str = "cyclewise",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor (applied at JVM launch)
+        conf["spark.driver.memory"] = "12g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
