@@ -707,3 +707,94 @@ def q_batch_score_events(spark, sf):
     serving = serving_model(fitted, EV_COLS, dense_cycles=True)
     raw = events_panel(spark, sf).drop("ts", "event_id")
     return score(serving, raw, "ridge", run_ts="run")
+
+
+# --- W8-W10, J2, M12: sequences and neighbours -----------------------------------
+from cyclewise.operators import sequences as seqs  # noqa: E402
+from cyclewise.operators.knn import knn_regress  # noqa: E402
+
+SEQ_L = 30  # window of the sequence-model comparison
+
+
+def _seq_sql(cols, L, label=True):
+    part = "PARTITION BY unit_number ORDER BY time_in_cycles"
+    arr = ", ".join(f"CAST({c} AS DOUBLE)" for c in cols)
+    if label:
+        frame = f"ROWS BETWEEN {L} PRECEDING AND 1 PRECEDING"
+        return (f"SELECT unit_number, time_in_cycles, seq, RUL FROM (SELECT unit_number, "
+                f"time_in_cycles, RUL, flatten(list([{arr}]) OVER ({part} {frame})) AS seq FROM lp) "
+                f"WHERE len(seq) = {L * len(cols)} AND RUL IS NOT NULL")
+    frame = f"ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW"
+    return (f"SELECT unit_number, time_in_cycles, seq FROM (SELECT unit_number, time_in_cycles, "
+            f"flatten(list([{arr}]) OVER ({part} {frame})) AS seq FROM panel) "
+            f"WHERE len(seq) = {L * len(cols)}")
+
+
+_LP_SQL = ("SELECT *, CAST(max(time_in_cycles) OVER (PARTITION BY unit_number) - time_in_cycles "
+           "AS BIGINT) AS RUL FROM panel")
+
+
+@register("sequences_events", _with(_seq_sql(EV_COLS, SEQ_L), panel=EVENTS_PANEL_SQL, lp=_LP_SQL))
+def q_sequences_events(spark, sf):
+    p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
+    return seqs.make_sequences(p, EV_COLS, SEQ_L, dense_cycles=True)
+
+
+@register("inference_sequences_lineitem", _with(_seq_sql(["l_quantity", "l_discount"], 50, False),
+                                                panel=LINEITEM_PANEL_SQL))
+def q_inference_sequences_lineitem(spark, sf):
+    return seqs.make_inference_sequences(lineitem_panel(spark, sf), ["l_quantity", "l_discount"],
+                                         50, dense_cycles=True)
+
+
+# kNN on integer-valued coordinates (k, value in cents): squared distances are exact in
+# both engines, and ties are broken by event id on both sides.
+_KNN_BASE = f"""SELECT p.event_id, [CAST(p.k AS DOUBLE), round(p.value * 100)] AS x,
+  CAST(p.RUL AS DOUBLE) AS y,
+  CASE WHEN {spl.split_hash_sql(['event_id'])} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+FROM lp p"""
+
+
+@register("knn_regress_events", _with(f"""
+SELECT event_id, {_rs('avg(y)', 4)} AS knn_pred FROM (
+  SELECT q.event_id, t.y, row_number() OVER (PARTITION BY q.event_id ORDER BY
+      (q.x[1] - t.x[1]) * (q.x[1] - t.x[1]) + (q.x[2] - t.x[2]) * (q.x[2] - t.x[2]), t.event_id) AS rn
+  FROM kb q JOIN kb t ON q.split = 'test' AND t.split = 'train')
+WHERE rn <= 5 GROUP BY event_id""", panel=EVENTS_PANEL_SQL, lp=_LP_SQL, kb=_KNN_BASE))
+def q_knn_regress_events(spark, sf):
+    p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
+    b = spl.hash_split(p, ["event_id"]).select(
+        "event_id", "split", F.array(F.col("k").cast("double"), F.round(F.col("value") * 100))
+        .alias("x"), F.col("RUL").cast("double").alias("y"))
+    r = knn_regress(b.filter("split = 'train'"), b.filter("split = 'test'"), "x", "y",
+                    "event_id", "event_id", k=5)
+    return r.select("event_id", _r("knn_pred", 4).alias("knn_pred"))
+
+
+@register("sequence_models_events")
+def q_sequence_models_events(spark, sf):
+    """Flattened L=30 windows (min-max scaled channels) -> RF, GBT, SVR (RFF), KNN;
+    unshuffled 80/20 tail split; leaderboard by R^2 (O1)."""
+    from cyclewise.ml import models as mdl
+    p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
+    p = scl.minmax_scale(p, EV_COLS)
+    s = seqs.make_sequences(p, EV_COLS, SEQ_L, dense_cycles=True)
+    s = spl.tail_split(s, 0.2, scope="table")
+    s = seqs.flatten_sequences(s, out="scaled_features")
+    train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
+    n, sd = mdl.label_stats(train)
+    fitted = {}
+    for nm in ["random_forest", "gradient_boosting", "svr"]:
+        from pyspark.ml import Pipeline
+        fitted[nm] = Pipeline(stages=mdl.regressor(nm, n=n, label_std=sd)).fit(train)
+    preds = mdl.predict_all(fitted, test, ["unit_number", "time_in_cycles", "RUL"])
+    tk = test.select(F.concat_ws(":", "unit_number", "time_in_cycles").alias("qid"), "seq")
+    tr = train.select(F.concat_ws(":", "unit_number", "time_in_cycles").alias("tid"), "seq",
+                      F.col("RUL").cast("double").alias("RUL"))
+    knn = knn_regress(tr, tk, "seq", "RUL", "tid", "qid", k=5)
+    knn = test.select(F.concat_ws(":", "unit_number", "time_in_cycles").alias("qid"),
+                      "unit_number", "time_in_cycles", "RUL").join(knn, "qid") \
+        .select("unit_number", "time_in_cycles", "RUL", F.lit("knn").alias("model"),
+                F.col("knn_pred").alias("prediction"))
+    m = agg.regression_metrics(preds.unionByName(knn), "RUL", "prediction", by="model")
+    return _round_all(ranking.leaderboard(m.select("model", "r2", "mae"), "r2"))
