@@ -799,3 +799,67 @@ def q_sequence_models_events(spark, sf):
                 F.col("knn_pred").alias("prediction"))
     m = agg.regression_metrics(preds.unionByName(knn), "RUL", "prediction", by="model")
     return _round_all(ranking.leaderboard(m.select("model", "r2", "mae"), "r2"))
+
+
+# --- T1-T3: streaming (file stream replayed from the tables in day order) -------
+def _ev_stream_source(spark, sf):
+    from cyclewise.sources.streams import replay_as_files, scratch_path
+    p = events_panel(spark, sf).select("unit_number", "time_in_cycles", "value", "k",
+                                       F.to_date("ts").alias("day"))
+    src = scratch_path(spark, "events-stream")
+    replay_as_files(p, src, "day", "unit_number")
+    schema = "unit_number long, time_in_cycles long, value double, k double"
+    return src, schema
+
+
+@register("stream_features_events", features_sql(EVENTS_PANEL_SQL, EV_COLS, LI_IDS, rul=False,
+                                                 dropna=False))
+def q_stream_features_events(spark, sf):
+    from cyclewise.sources.streams import scratch_path
+    from cyclewise.streaming.scorer import read_stream, stream_features
+    src, schema = _ev_stream_source(spark, sf)
+    out, ck = scratch_path(spark, "features-out"), scratch_path(spark, "features-ck")
+    st = stream_features(read_stream(spark, src, schema, max_files=4), EV_COLS)
+    q = st.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
+        .outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return _round_features(spark.read.parquet(out), EV_COLS)
+
+
+@register("stream_risk_counts_events", f"""
+SELECT {RISK_SQL.format(p='value')} AS risk_level, CAST(count(*) AS BIGINT) AS n
+FROM events GROUP BY 1""")
+def q_stream_risk_counts_events(spark, sf):
+    from cyclewise.sources.streams import scratch_path
+    from cyclewise.streaming.scorer import read_stream, stream_risk_counts
+    src, schema = _ev_stream_source(spark, sf)
+    out, ck = scratch_path(spark, "risk-out"), scratch_path(spark, "risk-ck")
+    st = stream_risk_counts(read_stream(spark, src, schema, max_files=8), p="value")
+
+    def sink(df, batch_id):  # complete mode: each batch holds the full running counts
+        df.write.mode("overwrite").parquet(out)
+    q = st.writeStream.outputMode("complete").foreachBatch(sink) \
+        .option("checkpointLocation", ck).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_score_events")
+def q_stream_score_events(spark, sf):
+    """T1 + T2: stream features, then a ridge model fitted on the batch feature table
+    scores every micro-batch in foreachBatch; returns the scored rows."""
+    from cyclewise.ml import models as mdl
+    from cyclewise.sources.streams import scratch_path
+    from cyclewise.streaming.scorer import read_stream, score_stream, stream_features, \
+        write_batches_to
+    from cyclewise.functions.risk import risk_level as _risk
+    train, _, fcols = _event_training(spark, sf)
+    model = mdl.train_all(train, fcols, ["ridge"])["ridge"]
+    src, schema = _ev_stream_source(spark, sf)
+    out, ck = scratch_path(spark, "score-out"), scratch_path(spark, "score-ck")
+    feats = stream_features(read_stream(spark, src, schema, max_files=4), EV_COLS)
+    complete = feats.na.drop("any")
+    n = score_stream(complete, model, write_batches_to(out), ck)
+    res = spark.read.parquet(out)
+    return res.select("unit_number", "time_in_cycles", F.col("prediction").alias("predicted_rul"),
+                      _risk("prediction").alias("risk_level"), F.lit(n).alias("batches"))
