@@ -863,3 +863,137 @@ def q_stream_score_events(spark, sf):
     res = spark.read.parquet(out)
     return res.select("unit_number", "time_in_cycles", F.col("prediction").alias("predicted_rul"),
                       _risk("prediction").alias("risk_level"), F.lit(n).alias("batches"))
+
+
+# --- S1-S9: sources and sinks (round trips through the shared scratch folder) ----
+from cyclewise.sources import files as io  # noqa: E402
+
+
+def _scratch(spark, name):
+    from cyclewise.sources.streams import scratch_path
+    return scratch_path(spark, name)
+
+
+@register("whitespace_roundtrip_lineitem", _with("SELECT unit_number, time_in_cycles, "
+                                                 "l_quantity AS op_setting_1, l_discount AS sensor_1 "
+                                                 "FROM panel", panel=LINEITEM_PANEL_SQL))
+def q_whitespace_roundtrip_lineitem(spark, sf):
+    p = lineitem_panel(spark, sf).select("unit_number", "time_in_cycles",
+                                         F.col("l_quantity").alias("op_setting_1"),
+                                         F.col("l_discount").alias("sensor_1"))
+    path = _scratch(spark, "raw-text")
+    io.write_whitespace(p, path)
+    return io.read_whitespace(spark, path, ["unit_number", "time_in_cycles", "op_setting_1",
+                                            "sensor_1"])
+
+
+@register("truth_roundtrip_events", _with("""
+SELECT CAST(row_number() OVER (ORDER BY unit_number) AS BIGINT) AS unit_number, RUL
+FROM (SELECT unit_number, CAST(max(time_in_cycles) AS BIGINT) AS RUL FROM panel GROUP BY 1)""",
+    panel=EVENTS_PANEL_SQL))
+def q_truth_roundtrip_events(spark, sf):
+    # a truth file is positional: one line per unit in unit order, written as one file
+    # (one row per unit, not per reading)
+    p = events_panel(spark, sf, with_max=True)
+    truth = p.groupBy("unit_number").agg(F.max(MAX_CYCLE).alias("RUL"))
+    path = _scratch(spark, "truth")
+    truth.orderBy("unit_number").select(F.col("RUL").cast("string").alias("value")) \
+        .coalesce(1).write.text(path)
+    return io.read_truth(spark, path)
+
+
+@register("csv_roundtrip_events", _with("SELECT unit_number, time_in_cycles, value AS sensor_1, "
+                                        "k AS op_setting_1 FROM panel",
+                                        panel0=EVENTS_PANEL_SQL, panel=EV_NULLS_SQL))
+def q_csv_roundtrip_events(spark, sf):
+    p = _ev_nulls(spark, sf).select("unit_number", "time_in_cycles",
+                                    F.col("value").alias("sensor_1"),
+                                    F.col("k").alias("op_setting_1"))
+    path = _scratch(spark, "csv")
+    p.write.option("header", True).option("nullValue", "NA").csv(path)
+    return io.read_panel_csv(spark, path)
+
+
+@register("collection_roundtrip_part", "SELECT * FROM part")
+def q_collection_roundtrip_part(spark, sf):
+    from cyclewise.sources.panels import table
+    part = table(spark, sf, "part")
+    base = _scratch(spark, "collections")
+    io.replace_collection(part.withColumn("_id", F.xxhash64("p_partkey")), base, "parts")
+    return io.scan_collection(spark, base, "parts")
+
+
+@register("verify_written_lineitem", _with("""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(6 AS BIGINT) AS columns,
+       CAST(count(DISTINCT unit_number) AS BIGINT) AS units, true AS columns_ok FROM panel""",
+    panel=LINEITEM_PANEL_SQL))
+def q_verify_written_lineitem(spark, sf):
+    p = lineitem_panel(spark, sf)
+    path = _scratch(spark, "validated")
+    io.write_table(p, path)
+    return io.verify_written(spark, path, p.columns)
+
+
+@register("metrics_json_roundtrip", _with(_BY_MODEL_SQL, panel=EVENTS_PANEL_SQL,
+                                          fc=_forecast_sql(), lp=_LONG_SQL))
+def q_metrics_json_roundtrip(spark, sf):
+    m = _round_all(agg.metrics_by_model(_ev_forecasts(spark, sf), "value", MODELS))
+    path = _scratch(spark, "metrics-json")
+    io.write_metrics_json(m, path)
+    return spark.read.schema(m.schema).json(path)
+
+
+# --- O3-O5: run tables (runs derived from part: one run per brand) ----------------
+from cyclewise.operators import runs as run_ops  # noqa: E402
+
+RUN_KEYS = ["metrics.rmse", "metrics.mean_price", "params.max_size", "params.n_types"]
+_RUNS_SQL = """SELECT p_brand AS run_id, stddev_pop(p_retailprice) AS "metrics.rmse",
+  avg(p_retailprice) AS "metrics.mean_price", CAST(max(p_size) AS DOUBLE) AS "params.max_size",
+  CAST(count(DISTINCT p_type) AS DOUBLE) AS "params.n_types" FROM part GROUP BY p_brand"""
+
+
+def _runs_long(spark, sf):
+    from cyclewise.sources.panels import table
+    g = table(spark, sf, "part").groupBy(F.col("p_brand").alias("run_id")).agg(
+        F.stddev_pop("p_retailprice").alias("m_rmse"), F.avg("p_retailprice").alias("m_price"),
+        F.max("p_size").cast("double").alias("p_size"),
+        F.countDistinct("p_type").cast("double").alias("p_types"))
+    body = ", ".join(f"'{k}', {c}" for k, c in zip(RUN_KEYS, ["m_rmse", "m_price", "p_size",
+                                                              "p_types"]))
+    return run_ops.finite_metrics(g.selectExpr("run_id", f"stack(4, {body}) AS (key, value)"))
+
+
+def _round_cols(df, cols, d=4):
+    return df.select(*[_r(F.col(f"`{c}`"), d).alias(c) if c in cols else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+@register("compare_runs_part", _with("SELECT run_id, " + ", ".join(
+    f'{_rs(chr(34) + k + chr(34), 4)} AS "{k}"' for k in RUN_KEYS) + " FROM runs",
+    runs=_RUNS_SQL))
+def q_compare_runs_part(spark, sf):
+    return _round_cols(run_ops.compare_runs(_runs_long(spark, sf), RUN_KEYS), RUN_KEYS)
+
+
+@register("search_runs_part", _with("SELECT run_id, " + ", ".join(
+    f'{_rs(chr(34) + k + chr(34), 4)} AS "{k}"' for k in RUN_KEYS) +
+    ' FROM runs WHERE "params.n_types" >= 6 ORDER BY "metrics.rmse", run_id LIMIT 100',
+    runs=_RUNS_SQL))
+def q_search_runs_part(spark, sf):
+    r = run_ops.search_runs(_runs_long(spark, sf), RUN_KEYS, "`params.n_types` >= 6")
+    return _round_cols(r, RUN_KEYS)
+
+
+_STAGE_SQL = ("CASE p_type WHEN 'PROMO' THEN 'Production' WHEN 'STANDARD' THEN 'Staging' "
+              "WHEN 'ECONOMY' THEN 'Archived' ELSE 'None' END")
+
+
+@register("latest_versions_part", f"""
+SELECT p_brand AS name, CAST(max(p_size) AS BIGINT) AS latest_version FROM part
+WHERE {_STAGE_SQL} IN ('Production', 'Staging') GROUP BY p_brand""")
+def q_latest_versions_part(spark, sf):
+    from cyclewise.sources.panels import table
+    v = table(spark, sf, "part").select(F.col("p_brand").alias("name"),
+                                        F.col("p_size").alias("version"),
+                                        F.expr(_STAGE_SQL).alias("stage"))
+    return run_ops.latest_versions(v, ["Production", "Staging"])
