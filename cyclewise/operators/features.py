@@ -73,9 +73,10 @@ def halo_window(df: DataFrame, build, halo: int, unit: str = UNIT, cycle: str =
         pos = F.col("_pos")
     zpos = pos - F.lit(1)
     home = F.floor(zpos / F.lit(block_rows))
-    in_halo = (zpos % F.lit(block_rows)) >= F.lit(block_rows - halo) if halo > 0 else F.lit(False)
-    rows = base.withColumn("_blk", F.explode(
-        F.when(in_halo, F.array(home, home + 1)).otherwise(F.array(home))))
+    # a row is also copied to every later block whose first row lies within ``halo`` rows
+    # after it (one extra block when halo <= block_rows)
+    last = F.floor((zpos + F.lit(halo)) / F.lit(block_rows))
+    rows = base.withColumn("_blk", F.explode(F.sequence(home, last)))
     w = Window.partitionBy(unit, "_blk").orderBy(pos)
     exprs = build(w, pos)
     out = rows.select(*df.columns, *(["_pos"] if not dense_cycles else []), "_blk", *exprs)
