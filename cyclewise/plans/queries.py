@@ -457,7 +457,7 @@ def q_compare_models_events(spark, sf):
 
 
 _LONG_SQL = " UNION ALL ".join(
-    f"SELECT '{m}' AS model, {i + 1} AS model_order, value, {m}_rul AS p FROM fc"
+    f"SELECT '{m}' AS model, CAST({i + 1} AS BIGINT) AS model_order, value, {m}_rul AS p FROM fc"
     for i, m in enumerate(MODELS))
 _BY_MODEL_SQL = _metrics_sql("value", "p", "lp", group="model, model_order")
 
@@ -997,3 +997,44 @@ def q_latest_versions_part(spark, sf):
                                         F.col("p_size").alias("version"),
                                         F.expr(_STAGE_SQL).alias("stage"))
     return run_ops.latest_versions(v, ["Production", "Staging"])
+
+
+# --- P5, P10, M9-M11: remaining operators ----------------------------------------
+@register("drop_columns_events", "SELECT event_id, ts, user_id, value FROM events")
+def q_drop_columns_events(spark, sf):
+    from cyclewise.sources.panels import table
+    # ignore-missing drop, as for the fixed list of constant channels
+    return qual.drop_columns(table(spark, sf, "events"), ["props", "event_type", "sensor_6"])
+
+
+@register("clamp_residuals_events", _with(_round_sql(
+    "SELECT unit_number, time_in_cycles, CASE WHEN isnan(value - mean5_rul) OR "
+    "value - mean5_rul <= 0 THEN 0.0 ELSE value - mean5_rul END AS clamped FROM fc",
+    ["clamped"], keep=["unit_number", "time_in_cycles"]), panel=EVENTS_PANEL_SQL, fc=_forecast_sql()))
+def q_clamp_residuals_events(spark, sf):
+    from cyclewise.functions.risk import clamp_rul
+    r = agg.residuals(_ev_forecasts(spark, sf), "value", "mean5_rul")
+    return _round_all(r.select("unit_number", "time_in_cycles",
+                               clamp_rul("residual").alias("clamped")))
+
+
+@register("grid_search_ridge_events")
+def q_grid_search_ridge_events(spark, sf):
+    """M9: 5-fold cross-validated ridge over the reference's alpha grid; one row per alpha."""
+    from cyclewise.ml import models as mdl
+    train, _, fcols = _event_training(spark, sf)
+    cv = mdl.grid_search(mdl.training_frame(train), fcols, "ridge", parallelism=4)
+    rows = [(float(a), float(m)) for a, m in zip((0.1, 1.0, 10.0, 100.0), cv.avgMetrics)]
+    best = min(range(len(rows)), key=lambda i: rows[i][1])
+    return spark.createDataFrame([(a, m, i == best) for i, (a, m) in enumerate(rows)],
+                                 "alpha double, cv_rmse double, best boolean")
+
+
+@register("evaluate_saved_models_events")
+def q_evaluate_saved_models_events(spark, sf):
+    """M10 + S10 + M11: train, save, rediscover every saved model, evaluate all on the test split."""
+    from cyclewise.ml import models as mdl
+    train, test, fcols = _event_training(spark, sf)
+    path = _scratch(spark, "models")
+    mdl.save_models(mdl.train_all(train, fcols, ["linear_regression", "ridge", "lasso"]), path)
+    return _metrics_out(mdl.evaluate_all(mdl.load_models(path), test))
