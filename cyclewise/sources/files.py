@@ -122,3 +122,14 @@ def write_predictions(df: DataFrame, out: str | None = None, base: str = "predic
 
 def exists(path: str) -> bool:
     return os.path.exists(path)
+
+
+def list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path`` on any Hadoop file system
+    (local, HDFS, object stores), via the session's Hadoop configuration."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
