@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cyclewise.operators.position import value_bucket, with_position
+from cyclewise.operators.position import range_scan, value_bucket, with_position
 from cyclewise.schema import CYCLE, NUMERIC_FILL, STRING_FILL, UNIT
 
 DEFAULT_BLOCK_ROWS = 1 << 18
@@ -54,19 +54,25 @@ def fill_nulls(df: DataFrame, cols: list[str], scope: str = "unit", unit: str =
         aggs += [F.max_by(c, key).alias(f"_l{i}"), F.min_by(c, key).alias(f"_s{i}")]
     summ = base.withColumn("_blk", F.floor((pos - F.lit(1)) / F.lit(block_rows))) \
         .groupBy(unit, "_blk").agg(*aggs)
+    carry = []
     if scope == "unit":
         sw = Window.partitionBy(unit).orderBy("_blk")
+        prev = sw.rowsBetween(Window.unboundedPreceding, -1)
+        nxt = sw.rowsBetween(1, Window.unboundedFollowing)
+        for i in range(len(cols)):
+            if forward:
+                carry.append(F.last(f"_l{i}", ignorenulls=True).over(prev).alias(f"_cf{i}"))
+            if backward:
+                carry.append(F.first(f"_s{i}", ignorenulls=True).over(nxt).alias(f"_cb{i}"))
     else:
-        # one row per (unit, block): small, ordered globally
-        sw = Window.orderBy(unit, "_blk")
-    prev = sw.rowsBetween(Window.unboundedPreceding, -1)
-    nxt = sw.rowsBetween(1, Window.unboundedFollowing)
-    carry = []
-    for i in range(len(cols)):
-        if forward:
-            carry.append(F.last(f"_l{i}", ignorenulls=True).over(prev).alias(f"_cf{i}"))
-        if backward:
-            carry.append(F.first(f"_s{i}", ignorenulls=True).over(nxt).alias(f"_cb{i}"))
+        # table scope: one summary row per (unit, block), scanned in global order by a
+        # range-partitioned two-pass scan (no single task holds the summary)
+        sc = range_scan(summ, [unit, "_blk"], carries=[f"_l{i}" for i in range(len(cols))]
+                        + [f"_s{i}" for i in range(len(cols))])
+        summ = sc.withColumns({f"_cf{i}": F.col(f"_prev__l{i}") for i in range(len(cols))}
+                              | {f"_cb{i}": F.col(f"_next__s{i}") for i in range(len(cols))})
+        carry = [F.col(f"_cf{i}") for i in range(len(cols)) if forward] + \
+            [F.col(f"_cb{i}") for i in range(len(cols)) if backward]
     summ = summ.select(F.col(unit).alias("_u"), F.col("_blk").alias("_bk"), *carry)
     j = b.join(summ, b[unit].eqNullSafe(summ["_u"]) & (b["_blk"] == summ["_bk"]), "left")
     out = {}

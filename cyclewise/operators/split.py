@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cyclewise.operators.position import value_bucket, with_position
+from cyclewise.operators.position import value_bucket, with_global_position, with_position
 from cyclewise.schema import CYCLE, SEED, TEST_SIZE, UNIT
 
 HASH_BUCKET_BITS = 20  # rank buckets: hash >> 12 -> up to 2^20 buckets
@@ -43,12 +43,12 @@ def hash_split(df: DataFrame, keys: list[str], test_size: float = TEST_SIZE, see
     if not exact:
         pct = int(round(test_size * 100))
         return df.withColumn(out, F.when(h % 100 < pct, F.lit("test")).otherwise(F.lit("train")))
-    d = df.withColumn("_h", h).withColumn("_all", F.lit(0))
-    r = with_position(d, "_all", ["_h", *keys], F.shiftright(F.col("_h"), 32 - HASH_BUCKET_BITS),
-                      out="_rank", total_out="_n")
+    d = df.withColumn("_h", h)
+    r = with_global_position(d, ["_h", *keys], F.shiftright(F.col("_h"), 32 - HASH_BUCKET_BITS),
+                             out="_rank", total_out="_n")
     return r.withColumn(out, F.when(F.col("_rank") <= F.ceil(F.col("_n") * F.lit(test_size)),
                                     F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("_h", "_all", "_rank", "_n")
+        .drop("_h", "_rank", "_n")
 
 
 def tail_split(df: DataFrame, test_size: float = TEST_SIZE, scope: str = "table",
@@ -64,9 +64,8 @@ def tail_split(df: DataFrame, test_size: float = TEST_SIZE, scope: str = "table"
         r = with_position(df, unit, [cycle], value_bucket(cycle, block_rows), out="_rank",
                           total_out="_n")
     else:
-        d = df.withColumn("_all", F.lit(0))
         bkt = F.struct(F.col(unit), F.floor(F.col(cycle) / F.lit(block_rows)))
-        r = with_position(d, "_all", [unit, cycle], bkt, out="_rank", total_out="_n").drop("_all")
+        r = with_global_position(df, [unit, cycle], bkt, out="_rank", total_out="_n")
     return r.withColumn(out, F.when(F.col("_rank") <= F.floor(F.col("_n") * F.lit(keep)),
                                     F.lit("train")).otherwise(F.lit("test"))) \
         .drop("_rank", "_n")
