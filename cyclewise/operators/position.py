@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cyclewise.session import reliable_checkpoint
+
 
 def time_bucket(col: str, seconds: int) -> Column:
     """Monotone bucket of a timestamp column (width in seconds)."""
@@ -61,8 +63,8 @@ def range_scan(df: DataFrame, order: list[str], sums: list[str] = (), carries: l
     """
     spark = df.sparkSession
     n = parts or max(spark.sparkContext.defaultParallelism, 2)
-    r = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()) \
-        .checkpoint(eager=True)
+    r = reliable_checkpoint(
+        df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid").orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     after = w.rowsBetween(1, Window.unboundedFollowing)
@@ -107,7 +109,7 @@ def with_global_position(df: DataFrame, order: list[str | Column], bucket: Colum
     number, taken from the same small count table).
     """
     b = df.withColumn("_bkt", bucket)
-    counts = b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    counts = reliable_checkpoint(b.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n")))
     offs = range_scan(counts, ["_bkt"], sums=["_n"]).select(
         F.col("_bkt").alias("_b"), F.col("_pre__n").alias("_off"))
     j = b.join(offs, b["_bkt"].eqNullSafe(offs["_b"])).drop("_b")

@@ -55,3 +55,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared checkpoint folder (resolved first).
+
+    Cuts the lineage with files every executor can read back; never a local
+    checkpoint, which would be lost with its executor."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

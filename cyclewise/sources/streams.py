@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.session import checkpoint_dir
+from cyclewise.session import checkpoint_dir, reliable_checkpoint
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -25,7 +25,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def replay_as_files(df: DataFrame, path: str, slice_col: str, unit: str,
                     files_per_slice: int = 4) -> int:
     """Write ``df`` under ``path`` slice by slice; returns the number of slices."""
-    ck = df.checkpoint(eager=True)
+    ck = reliable_checkpoint(df)
     slices = [r[0] for r in ck.select(slice_col).distinct().orderBy(slice_col).collect()]
     for s in slices:
         ck.filter(F.col(slice_col) == F.lit(s)).drop(slice_col) \
