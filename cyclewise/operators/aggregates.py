@@ -137,6 +137,18 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return row.selectExpr(f"stack({len(pairs)}, {body}) AS (col_a, col_b, corr)")
 
 
+def correlation_matrix_vector(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A8 for wide inputs: Pearson matrix from ``ml.stat.Correlation`` over an assembled
+    vector (one distributed pass); the d x d result (bounded by the column count) is
+    returned in the same long form as ``correlation_matrix``. Rows with a NULL are skipped."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df)
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    rows = [(a, b, float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+
+
 def dataset_overview(df: DataFrame, unit: str = UNIT, exclude=(UNIT, CYCLE, TARGET)) -> DataFrame:
     """Samples, feature count, distinct units."""
     nfeat = len([c for c in df.columns if c not in exclude])

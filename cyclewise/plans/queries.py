@@ -1038,3 +1038,10 @@ def q_evaluate_saved_models_events(spark, sf):
     path = _scratch(spark, "models")
     mdl.save_models(mdl.train_all(train, fcols, ["linear_regression", "ridge", "lasso"]), path)
     return _metrics_out(mdl.evaluate_all(mdl.load_models(path), test))
+
+
+@register("correlation_lineitem_vector", ORACLE["correlation_lineitem"])
+def q_correlation_lineitem_vector(spark, sf):
+    """A8 through ml.stat.Correlation (the path for wide feature sets)."""
+    from cyclewise.sources.panels import table
+    return _round_all(agg.correlation_matrix_vector(table(spark, sf, "lineitem"), _CORR_COLS))
