@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, shard
+from cyclewise.llm import (decontaminate, mixing, ngram_join, quality_classifier, quality_rules,
+                           secrets, shard, suffix_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +53,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "score", "predicted")
 
 
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP6_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -102,6 +110,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op7_ngram_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "n_links")
+
+
 OP8_SQL = r"""
 WITH dw AS (
   SELECT row_number() OVER () AS k, doc_id,
