@@ -9,7 +9,7 @@ slices of rows. Rows are divided by their neighbour count: frequent and rare wor
 vectors of like length.
 
 A document is pooled into mean and standard deviation over its words of context vector and
-index vector, plus the spread of its vocabulary; a network with one hidden layer (NumPy) is
+index vector, plus how often words recur, side by side and anywhere, and their number; a network with one hidden layer (NumPy) is
 fitted on at most ``SAMPLE`` labelled documents, chosen by hash, and its logits are divided
 by a temperature fitted on labelled documents the weights have not seen. Scores use the text
 alone: never id, language, source or labels.
@@ -40,6 +40,7 @@ SLICE = 512         # rows of the table per summed record
 SAMPLE = 6000       # most labelled documents that the network is fitted on
 HIDDEN = 32
 EPOCHS = 60
+CLIP = 5.0          # most standard deviations of a feature
 _MODELS: dict[str, tuple] = {}
 
 
@@ -148,12 +149,14 @@ def pool(raw: bytes, table: np.ndarray) -> np.ndarray:
     mean = p @ both
     out[:2 * DIM] = mean
     out[2 * DIM:4 * DIM] = np.sqrt(np.maximum(p @ (both * both) - mean * mean, 0))
-    out[4 * DIM] = float((p * p).sum())  # near 1 for one word over and over
-    out[4 * DIM + 1] = np.log1p(len(r)) / 10
+    if len(r) > 1:  # near 1 for one word over and over, whatever the length
+        out[4 * DIM] = float((n * (n - 1)).sum() / (len(r) * (len(r) - 1)))
+        out[4 * DIM + 1] = float((r[1:] == r[:-1]).mean())
+    out[4 * DIM + 2] = np.log1p(len(r)) / 10
     return out
 
 
-FEATURES = 4 * DIM + 2
+FEATURES = 4 * DIM + 3
 
 
 def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 5) -> dict:
@@ -164,7 +167,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 5) -> dict:
     model = {"mean": mean, "scale": scale, "prior": float(prior), "temperature": 1.0}
     if len(np.unique(y)) < 2 or len(y) < 20:
         return model | {"w1": None}
-    z = (x - mean) / scale
+    z = np.clip((x - mean) / scale, -CLIP, CLIP)
     order = rng.permutation(len(y))
     held, train = order[:len(y) // 5], order[len(y) // 5:]
     w = {"w1": rng.normal(0, 1 / np.sqrt(FEATURES), (FEATURES, HIDDEN)), "b1": np.zeros(HIDDEN),
@@ -197,7 +200,8 @@ def score(model: dict, x: np.ndarray) -> np.ndarray:
     """Calibrated probability of label 1."""
     if model["w1"] is None:
         return np.full(len(x), model["prior"])
-    h = np.maximum(((x - model["mean"]) / model["scale"]) @ model["w1"] + model["b1"], 0)
+    z = np.clip((x - model["mean"]) / model["scale"], -CLIP, CLIP)
+    h = np.maximum(z @ model["w1"] + model["b1"], 0)
     v = np.clip((h @ model["w2"] + model["b2"]) / model["temperature"], -40, 40)
     return 1 / (1 + np.exp(-v))
 
