@@ -43,7 +43,9 @@ from cyclewise.session import reliable_checkpoint
 LENGTH = 200
 GRAM = 32
 CHUNK = 1 << 20   # windows whose places are chosen at a time
+BROADCAST_KEYS = 1_000_000  # most 12-byte document keys that are broadcast
 HOT = 20_000      # different stretches of a place hash that one task sorts at most
+PACK = 15         # bits of a stretch's size and place: length is at most 1 << 14
 _B = np.uint64(0xD6E8FEB86659FD93)
 _B_INV = np.uint64(pow(int(_B), -1, 1 << 64))
 
@@ -97,8 +99,9 @@ def _digest(b: bytes) -> int:
 
 
 def _emit(frame: DataFrame, length: int, gram: int) -> DataFrame:
-    """Stretch rows: h (place hash), d (digest), __k1, __k2 (document), s, e, p."""
-    schema = "h long, d long, __k1 long, __k2 long, s int, e int, p int"
+    """Stretch rows: h (place hash), d (digest), __k1, __k2 (document) and at, which packs
+    the stretch's start, size and place (its offset in the stretch)."""
+    schema = "h long, d long, __k1 long, __k2 int, at long"
 
     def run(batches):
         for batch in batches:
@@ -111,7 +114,8 @@ def _emit(frame: DataFrame, length: int, gram: int) -> DataFrame:
                 h, s, e, p = stretches(np.frombuffer(raw, np.uint8), length, gram)
                 d = np.fromiter((_digest(raw[a:b]) for a, b in zip(s.tolist(), e.tolist())),
                                 np.int64, len(s))
-                rows.append((h, d, np.full(len(s), k1[i]), np.full(len(s), k2[i]), s, e, p))
+                at = (s << (2 * PACK)) | ((e - s) << PACK) | (p - s)
+                rows.append((h, d, np.full(len(s), k1[i]), np.full(len(s), k2[i]), at))
                 held += len(s)
                 if held > 100_000:
                     yield _rows(rows)
@@ -123,10 +127,10 @@ def _emit(frame: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _rows(rows) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(c), t) for c, t in zip(zip(*rows), kinds)],
-        names=["h", "d", "__k1", "__k2", "s", "e", "p"])
+        names=["h", "d", "__k1", "__k2", "at"])
 
 
 # ---- hash-compared suffix sort ---------------------------------------------------------
@@ -322,18 +326,25 @@ def _hot_windows(reps: DataFrame, length: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, spans, kept (bytes)."""
+    if not gram <= length <= 1 << (PACK - 1):
+        raise ValueError(f"length is from gram to {1 << (PACK - 1)}")
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     frame = docs.select(F.col(f"`{id_col}`").alias("__id"), text.alias("__text"))
     # documents with equal keys have equal texts, and so equal ranges
     frame = frame.withColumn("__k1", F.xxhash64("__text")).withColumn(
-        "__k2", F.xxhash64(F.lit("second"), "__text"))
+        "__k2", F.hash("__text"))
     rows = _emit(frame, length, gram)
     twice = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("d").alias("d0"),
                                   F.max("d").alias("d1")).where("c > 1").select(
         F.col("h").alias("g"), (F.col("d0") == F.col("d1")).alias("alike"))
     rows = reliable_checkpoint(rows.join(twice, F.col("h") == F.col("g")).drop("g"))
-    alike = rows.where("alike").select("__k1", "__k2", "s", "e")
-    mixed = rows.where("not alike")
+    start = F.shiftright("at", 2 * PACK).cast("int")
+    size = F.shiftright("at", PACK).bitwiseAND(F.lit((1 << PACK) - 1)).cast("int")
+    place = F.col("at").bitwiseAND(F.lit((1 << PACK) - 1)).cast("int")
+    unpacked = rows.select("h", "d", "__k1", "__k2", start.alias("s"), (start + size).alias("e"),
+                           (start + place).alias("p"), "alike")
+    alike = unpacked.where("alike").select("__k1", "__k2", "s", "e")
+    mixed = unpacked.where("not alike")
     # one stretch of each digest stands for all; those that occur twice repeat as a whole
     stands = mixed.groupBy("h", "d").agg(F.count(F.lit(1)).alias("c"), F.min(
         F.struct("__k1", "__k2", "s", "e", "p")).alias("r"))
@@ -343,6 +354,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col("r.s").alias("s"), F.col("r.e").alias("e"), (F.col("r.p") - F.col("r.s")).alias("place"))
     texts = frame.select("__k1", "__k2", "__text")
     asked = stands.select("h", "d", "many", "f1", "f2", "s", "e", "place").distinct()
+    # the texts to cut from: fewer than all, and broadcast keys only while they are few
+    holders = reliable_checkpoint(asked.select(F.col("f1").alias("g1"), F.col("f2").alias("g2")).distinct())
+    if holders.count() <= BROADCAST_KEYS:
+        texts = texts.join(F.broadcast(holders), (F.col("__k1") == F.col("g1"))
+                           & (F.col("__k2") == F.col("g2")), "left_semi")
     reps = texts.join(asked, (F.col("__k1") == F.col("f1")) & (F.col("__k2") == F.col("f2"))).select(
         "h", "d", "many", "place",
         F.expr("substring(cast(__text as binary), s + 1, e - s)").alias("content"))
