@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import (decontaminate, mixing, ngram_join, quality_classifier, quality_rules,
-                           secrets, shard, suffix_dedup)
+from cyclewise.llm import (chat, decontaminate, licenses, mixing, ngram_join, quality_classifier,
+                           quality_rules, secrets, shard, suffix_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +27,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+OP1_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS k, conv_id, turn,
+         CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS speaker,
+         coalesce(text, '') AS text
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+r AS (
+  SELECT t.*, p.perspective,
+         CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant'
+              ELSE 'user' END AS role,
+         CASE WHEN speaker = 'system' THEN '<|system|>' || chr(10)
+              WHEN speaker = perspective THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || speaker || '|>' || chr(10) END AS head
+  FROM t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+w AS (SELECT *, head || text || '<|end|>' || chr(10) AS rendered FROM r),
+o AS (
+  SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, perspective
+           ORDER BY turn NULLS LAST, speaker, rendered ROWS UNBOUNDED PRECEDING) AS e
+  FROM w)
+SELECT conv_id, perspective, turn, speaker, role, sha256(rendered) AS rendered_sha256,
+       (e - length(rendered))::BIGINT AS start, e::BIGINT AS "end",
+       (CASE WHEN role = 'assistant' THEN e - length(rendered) + length(head) ELSE e END)::BIGINT AS mask_start,
+       (CASE WHEN role = 'assistant' THEN e - 1 ELSE e END)::BIGINT AS mask_end
+FROM o
+"""
+
+
+@query("op1_chat_rotation", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.rotate(table(spark, sf_dir, "conversations"))
+    return turns.select("conv_id", "perspective", "turn", "speaker", "role",
+                        F.sha2(F.col("rendered").cast("binary"), 256).alias("rendered_sha256"),
+                        "start", "end", "mask_start", "mask_end")
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    spans = F.transform("licenses", lambda x: F.concat_ws(
+        ":", x["license"], x["start"].cast("string"), x["end"].cast("string"),
+        F.round(x["coverage"] * 1000).cast("int").cast("string")))
+    return found.select("doc_id", F.size("licenses").cast("long").alias("n_licenses"),
+                        F.array_join(F.array_sort(F.array_distinct(F.transform(
+                            "licenses", lambda x: x["license"]))), ",").alias("license_ids"),
+                        F.array_join(spans, ",").alias("spans"))
+
+
 @query("op3_secrets")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
