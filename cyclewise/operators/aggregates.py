@@ -43,7 +43,8 @@ def metric_exprs(y: str, p: str) -> list[Column]:
 
 def regression_metrics(df: DataFrame, y: str, p: str, by: list[str] | str | None = None) -> DataFrame:
     """A1: one row (or one per ``by`` group) of regression metrics."""
-    d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull())
+    d = df.filter(F.col(y).isNotNull() & F.col(p).isNotNull()
+                  & ~F.isnan(F.col(y).cast("double")) & ~F.isnan(F.col(p).cast("double")))
     if by:
         return d.groupBy(*([by] if isinstance(by, str) else by)).agg(*metric_exprs(y, p))
     return d.agg(*metric_exprs(y, p))
@@ -55,8 +56,9 @@ def training_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def prediction_stats(df: DataFrame, p: str = "predicted_rul") -> DataFrame:
-    """A3: count, mean, min, max, population std and count per risk band."""
-    x = F.col(p)
+    """A3: count, mean, min, max, population std and count per risk band. A NaN prediction
+    is counted in the total only."""
+    x = F.when(~F.isnan(F.col(p).cast("double")), F.col(p))
     return df.agg(F.count(F.lit(1)).cast("long").alias("total_records"),
                   F.avg(x).alias("mean_rul"), F.min(x).alias("min_rul"), F.max(x).alias("max_rul"),
                   F.stddev_pop(x).alias("std_rul"),
@@ -105,22 +107,24 @@ def best_model(metrics: DataFrame, order_col: str = "model_order") -> DataFrame:
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """Equal-width counts over [min, max]; last bin closed; empty bins kept.
+    """Equal-width counts over [min, max]; last bin closed; empty bins kept. NULL and NaN
+    count nowhere; a value that rounds up to the last edge belongs to the last bin.
 
     min/max come from one aggregate; each row then gets its bin by arithmetic,
     counts are pre-aggregated map-side, and the ``bins``-row frame of all bins
     (bounded by ``bins``) is joined to keep empty ones.
     """
-    x = F.col(col)
+    x = F.col(col).cast("double")
+    df = df.filter(x.isNotNull() & ~F.isnan(x))
     mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo, hi = mm["lo"], mm["hi"]
     spark = df.sparkSession
     if lo is None:
         return spark.createDataFrame([], "bin bigint, bin_start double, bin_end double, count bigint")
     width = (hi - lo) / bins if hi > lo else 1.0
-    b = F.when(x == F.lit(hi), F.lit(bins - 1)).otherwise(
-        F.floor((x - F.lit(lo)) / F.lit(width))).cast("long") if hi > lo else F.lit(0).cast("long")
-    counts = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    b = F.least(F.lit(bins - 1).cast("long"), F.floor((x - F.lit(lo)) / F.lit(width)).cast("long")) \
+        if hi > lo else F.lit(0).cast("long")
+    counts = df.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     edges = spark.range(bins).select(
         F.col("id").alias("bin"),
         (F.lit(lo) + F.col("id") * F.lit(width)).alias("bin_start"),

@@ -41,8 +41,8 @@ def hash_split(df: DataFrame, keys: list[str], test_size: float = TEST_SIZE, see
     """Add ``out`` = 'test' / 'train'."""
     h = split_hash(keys, seed)
     if not exact:
-        pct = int(round(test_size * 100))
-        return df.withColumn(out, F.when(h % 100 < pct, F.lit("test")).otherwise(F.lit("train")))
+        cut = round(test_size * (1 << 32))  # of the 32-bit hash, so any fraction is met
+        return df.withColumn(out, F.when(h < cut, F.lit("test")).otherwise(F.lit("train")))
     d = df.withColumn("_h", h)
     r = with_global_position(d, ["_h", *keys], F.shiftright(F.col("_h"), 32 - HASH_BUCKET_BITS),
                              out="_rank", total_out="_n")

@@ -521,7 +521,7 @@ FROM (SELECT min({col}) AS lo, max({col}) AS hi,
              CASE WHEN max({col}) > min({col}) THEN (max({col}) - min({col})) / {bins}.0 ELSE 1.0 END AS w
       FROM {src}) s
 CROSS JOIN range({bins}) b(i)
-LEFT JOIN (SELECT CASE WHEN x = hi THEN {bins - 1} ELSE CAST(floor((x - lo) / w) AS BIGINT) END AS bin,
+LEFT JOIN (SELECT least({bins - 1}, CAST(floor((x - lo) / w) AS BIGINT)) AS bin,
                   count(*) AS n
            FROM (SELECT {col} AS x FROM {src} WHERE {col} IS NOT NULL),
                 (SELECT min({col}) AS lo, max({col}) AS hi,
@@ -597,7 +597,7 @@ _H = spl.split_hash_sql(_LI_KEY)
 
 
 @register("split_hash_lineitem", _with(f"""
-SELECT unit_number, time_in_cycles, CASE WHEN {_H} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+SELECT unit_number, time_in_cycles, CASE WHEN {_H} < 858993459 THEN 'test' ELSE 'train' END AS split
 FROM panel""", panel=LINEITEM_PANEL_SQL))
 def q_split_hash_lineitem(spark, sf):
     return spl.hash_split(lineitem_panel(spark, sf).select(*_LI_KEY), _LI_KEY)
@@ -644,7 +644,7 @@ def _scale_sql(kind: str) -> str:
             f" FROM sp p, (SELECT {st} FROM sp WHERE split = 'train') s")
     return _with(_round_sql(body, cols, keep=["unit_number", "time_in_cycles", "split"], d=6),
                  panel=LINEITEM_PANEL_SQL,
-                 sp=f"SELECT *, CASE WHEN {_H} % 100 < 20 THEN 'test' ELSE 'train' END AS split "
+                 sp=f"SELECT *, CASE WHEN {_H} < 858993459 THEN 'test' ELSE 'train' END AS split "
                     f"FROM panel")
 
 
@@ -751,7 +751,7 @@ def q_inference_sequences_lineitem(spark, sf):
 # both engines, and ties are broken by event id on both sides.
 _KNN_BASE = f"""SELECT p.event_id, [CAST(p.k AS DOUBLE), round(p.value * 100)] AS x,
   CAST(p.RUL AS DOUBLE) AS y,
-  CASE WHEN {spl.split_hash_sql(['event_id'])} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+  CASE WHEN {spl.split_hash_sql(['event_id'])} < 858993459 THEN 'test' ELSE 'train' END AS split
 FROM lp p"""
 
 

@@ -75,3 +75,21 @@ def test_ensemble_mean_skips_nulls(spark):
     df = spark.createDataFrame([(1.0, None, 3.0), (None, None, None)], "a_rul double, b_rul double, c_rul double")
     r = agg.ensemble_mean(df).collect()
     assert r[0].ensemble_rul == 2.0 and r[1].ensemble_rul is None
+
+
+def test_histogram_keeps_every_row(spark):
+    import math
+    from cyclewise.operators.aggregates import histogram
+    hi = 0.7318
+    rows = [(0.1,), (math.nextafter(hi, 0),), (hi,), (float("nan"),), (None,)]
+    df = spark.createDataFrame(rows, "x double")
+    for bins in (3, 7, 50, 1000):
+        assert sum(r["count"] for r in histogram(df, "x", bins).collect()) == 3
+
+
+def test_nan_predictions_reach_no_band(spark):
+    from cyclewise.operators.aggregates import prediction_stats, regression_metrics
+    df = spark.createDataFrame([(10.0, 11.0), (120.0, float("nan")), (60.0, 60.0)], "y double, p double")
+    s = prediction_stats(df, "p").first()
+    assert (s.total_records, s.low_risk_count, s.max_rul) == (3, 0, 60.0)
+    assert abs(regression_metrics(df, "y", "p").first()["mae"] - 0.5) < 1e-12

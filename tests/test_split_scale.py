@@ -51,3 +51,11 @@ def test_vector_scalers(spark):
     assert (a[:, 1] == 0).all()
     m = ZeroSafeMinMaxScaler().fit(v).transform(v).select("scaled_features").collect()
     assert [r[0][0] for r in m] == [0.0, 0.5, 1.0]
+
+
+def test_hash_split_meets_small_fractions(spark):
+    from cyclewise.operators.split import hash_split
+    df = spark.range(50_000).withColumnRenamed("id", "k")
+    for size in (0.004, 0.125):
+        n = hash_split(df, ["k"], test_size=size).where("split = 'test'").count()
+        assert abs(n / 50_000 - size) < 0.1 * size + 0.001
