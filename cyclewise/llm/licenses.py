@@ -96,25 +96,28 @@ class Index:
         self.owner = np.concatenate(owner)[order] if len(h) else np.empty(0, np.int64)
         self.at = np.concatenate(at)[order] if len(h) else np.empty(0, np.int64)
 
-    def candidates(self, w: np.ndarray) -> set[tuple[int, int]]:
-        """(template, document position minus template position, in steps of BAND)."""
-        out = set()
+    def hits(self, w: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """Template to its (document position, template position) fingerprint hits, in order."""
+        out: dict[int, list[tuple[int, int]]] = {}
         g = X.ngram_hashes(w, self.gram)
         if not len(self.hash) or not len(g):
             return out
         lo, hi = np.searchsorted(self.hash, g, "left"), np.searchsorted(self.hash, g, "right")
         for p in np.flatnonzero(hi > lo).tolist():
             for k in range(lo[p], hi[p]):
-                out.add((int(self.owner[k]), (p - int(self.at[k])) // BAND * BAND))
+                out.setdefault(int(self.owner[k]), []).append((p, int(self.at[k])))
         return out
 
 
-def align(doc: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND):
+def align(doc: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND,
+          lo: int = 0, hi: int | None = None):
     """Best local alignment inside the band: (score, matched words, start, end) or None.
 
-    Cell (i, j) pairs template word i with document word j, |j - i - diagonal| <= 2 * band."""
+    Cell (i, j) pairs template word i with document word j in [lo, hi),
+    |j - i - diagonal| <= band."""
+    hi = len(doc) if hi is None else hi
     n, off = len(template), diagonal - band
-    width = 4 * band + 1
+    width = 2 * band + 1
     score = np.zeros((n + 1, width + 2), np.int64)
     match = np.zeros((n + 1, width + 2), np.int64)
     begin = np.zeros((n + 1, width + 2), np.int64)
@@ -123,7 +126,7 @@ def align(doc: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND
     for i in range(1, n + 1):
         for b in range(1, width + 1):
             j = i - 1 + off + b - 1  # document word
-            if j < 0 or j >= len(doc):
+            if j < lo or j >= hi:
                 begin[i, b] = j + 1
                 continue
             same = template[i - 1] == doc[j]
@@ -145,10 +148,20 @@ def find(raw: bytes, index: Index, min_coverage: float = MIN_COVERAGE) -> list[d
     """Matches of a document: license, coverage of its template, span in characters."""
     s, e, w = word_hashes(raw)
     found = []
-    for k, diagonal in sorted(index.candidates(w)):
-        got = align(w, index.words[k], diagonal)
-        if got and got[1] >= min_coverage * len(index.words[k]):
-            found.append((got[2], got[3], got[1], k))
+    for k, hits in sorted(index.hits(w).items()):
+        parts = [(0, len(w))]  # stretches of the document in which to look for occurrences
+        while parts:
+            lo, hi = parts.pop()
+            tried: set[int] = set()
+            for p, t in hits:
+                if not lo <= p < hi or p - t in tried:
+                    continue
+                tried.add(p - t)
+                got = align(w, index.words[k], p - t, lo=lo, hi=hi)
+                if got and got[1] >= min_coverage * len(index.words[k]):
+                    found.append((got[2], got[3], got[1], k))
+                    parts += [(lo, got[2]), (got[3], hi)]
+                    break
     if not found:
         return []
     # overlapping matches: the one with more matched words stays, then the leftmost
