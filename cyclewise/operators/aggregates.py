@@ -55,17 +55,21 @@ def training_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
     return regression_metrics(df, y, p).select("mse", "rmse", "mae", "r2")
 
 
+def prediction_stat_exprs(p: str) -> list[Column]:
+    x = F.when(~F.isnan(F.col(p).cast("double")), F.col(p))
+    return [F.count(F.lit(1)).cast("long").alias("total_records"),
+            F.avg(x).alias("mean_rul"), F.min(x).alias("min_rul"), F.max(x).alias("max_rul"),
+            F.stddev_pop(x).alias("std_rul"),
+            F.count_if(x < 20).cast("long").alias("critical_count"),
+            F.count_if((x >= 20) & (x < 50)).cast("long").alias("high_risk_count"),
+            F.count_if((x >= 50) & (x < 100)).cast("long").alias("medium_risk_count"),
+            F.count_if(x >= 100).cast("long").alias("low_risk_count")]
+
+
 def prediction_stats(df: DataFrame, p: str = "predicted_rul") -> DataFrame:
     """A3: count, mean, min, max, population std and count per risk band. A NaN prediction
     is counted in the total only."""
-    x = F.when(~F.isnan(F.col(p).cast("double")), F.col(p))
-    return df.agg(F.count(F.lit(1)).cast("long").alias("total_records"),
-                  F.avg(x).alias("mean_rul"), F.min(x).alias("min_rul"), F.max(x).alias("max_rul"),
-                  F.stddev_pop(x).alias("std_rul"),
-                  F.count_if(x < 20).cast("long").alias("critical_count"),
-                  F.count_if((x >= 20) & (x < 50)).cast("long").alias("high_risk_count"),
-                  F.count_if((x >= 50) & (x < 100)).cast("long").alias("medium_risk_count"),
-                  F.count_if(x >= 100).cast("long").alias("low_risk_count"))
+    return df.agg(*prediction_stat_exprs(p))
 
 
 def ensemble_mean(df: DataFrame, suffix: str = "_rul", out: str = "ensemble_rul") -> DataFrame:

@@ -10,7 +10,7 @@ a large share of the table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cyclewise.operators.position import value_bucket, with_position
@@ -120,13 +120,17 @@ def add_rolling(df: DataFrame, cols: list[str], windows=WINDOWS, **kw) -> DataFr
 
 
 def drop_incomplete(df: DataFrame, observe: bool = False):
-    """Drop rows with any NULL (P7). Returns (df, Observation|None) with the dropped count."""
-    out = df.na.drop("any")
+    """Drop rows with any NULL or NaN (P7). With ``observe`` returns (rows, Observation): after
+    an action on the rows, the observation holds the ``dropped`` count of that same pass."""
     if not observe:
-        return out
-    from pyspark.sql import Observation
+        return df.na.drop("any")
     obs = Observation("drop_incomplete")
-    return out.observe(obs, F.count(F.lit(1)).alias("kept")), obs
+    missing = F.lit(False)
+    for f in df.schema.fields:
+        missing = missing | F.col(f.name).isNull()
+        if f.dataType.typeName() in ("float", "double"):
+            missing = missing | F.isnan(f.name)
+    return df.observe(obs, F.count_if(missing).alias("dropped")).na.drop("any"), obs
 
 
 def build_feature_table(df: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
@@ -136,4 +140,4 @@ def build_feature_table(df: DataFrame, cols: list[str], lags=LAGS, windows=WINDO
     """RUL + lags + rolling stats, then drop incomplete rows: the training table."""
     out = window_features(add_rul(df, unit, cycle, max_col=max_col), cols, lags, windows, unit,
                           cycle, dense_cycles, block_rows)
-    return out.na.drop("any") if dropna else out
+    return drop_incomplete(out) if dropna else out

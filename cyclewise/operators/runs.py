@@ -7,7 +7,7 @@ values are skipped when logging, as the tracker does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,10 +29,14 @@ def finite_metrics(long: DataFrame, value: str = "value") -> DataFrame:
     return long.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
 
 
-def compare_runs(long: DataFrame, keys: list[str], run_ids: list | None = None) -> DataFrame:
-    """One wide row per run, a column per key (pivot with explicit values: no extra job)."""
+def compare_runs(long: DataFrame, keys: list[str] | None = None,
+                 run_ids: list | None = None) -> DataFrame:
+    """One wide row per run (with ``run_name`` where the table has one), a column per key.
+    Values keep their type, text included. Without ``keys`` every key found gets a column
+    (one small job lists them); given keys need no such job."""
     d = long if run_ids is None else long.filter(F.col("run_id").isin(list(run_ids)))
-    return d.groupBy("run_id").pivot("key", keys).agg(F.first("value"))
+    runs = d.groupBy(*[c for c in ("run_id", "run_name") if c in long.columns])
+    return (runs.pivot("key", keys) if keys else runs.pivot("key")).agg(F.max("value"))
 
 
 def search_runs(long: DataFrame, keys: list[str], filter_expr: str | None = None,
@@ -47,11 +51,11 @@ def search_runs(long: DataFrame, keys: list[str], filter_expr: str | None = None
                         F.col("run_id")).limit(max_results)
 
 
-def latest_versions(versions: DataFrame, stages: list[str] | None = None) -> DataFrame:
-    """Highest version per model name within the given stages."""
-    v = versions if not stages else versions.filter(F.col("stage").isin(list(stages)))
-    return v.groupBy("name").agg(F.max("version").cast("long").alias("latest_version"))
+DEFAULT_STAGES = ("Production", "Staging", "None")
 
 
-def rank_runs(wide: DataFrame, metric: str) -> DataFrame:
-    return wide.withColumn("rank", F.row_number().over(Window.orderBy(F.col(metric), "run_id")))
+def latest_versions(versions: DataFrame, stages=DEFAULT_STAGES) -> DataFrame:
+    """Highest version per model name within the given stages; archived versions count
+    only where their stage is given, or with ``stages`` None (all)."""
+    v = versions if stages is None else versions.filter(F.col("stage").isin(list(stages)))
+    return v.groupBy("name").agg(F.max("version").cast("long").alias("latest_version"))

@@ -697,7 +697,7 @@ def q_train_boosting_svr_events(spark, sf):
 
 @register("batch_score_events")
 def q_batch_score_events(spark, sf):
-    """Fit ridge on the training split, then score every complete row of the raw panel
+    """Fit ridge on the training split, then score the raw panel, every row of it,
     through one serving PipelineModel (features + scaler + regressor)."""
     from cyclewise.ml import models as mdl
     from cyclewise.plans.scoring import score
@@ -709,6 +709,64 @@ def q_batch_score_events(spark, sf):
     return score(serving, raw, "ridge", run_ts="run")
 
 
+
+# A given linear rule as the model: scoring, its written rows and their stats have SQL twins.
+_RULE = "0.5 * value + 0.25 * value_lag_1 + k"
+_RULE_SQL = f"""SELECT unit_number, time_in_cycles, CASE WHEN time_in_cycles > {max(feat.LAGS)} THEN
+  0.5 * value + 0.25 * lag(value, 1) OVER (PARTITION BY unit_number ORDER BY time_in_cycles) + k
+  END AS p FROM panel"""
+
+
+def _rule_scores(spark, sf):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+    from cyclewise.ml.stages import PanelFeatures
+    from cyclewise.plans.scoring import score
+    inputs = EV_COLS + feat.feature_names(EV_COLS, feat.LAGS, feat.WINDOWS)
+    model = PipelineModel(stages=[
+        PanelFeatures(inputCols=list(EV_COLS), lags=list(feat.LAGS), windows=list(feat.WINDOWS),
+                      denseCycles=True),
+        VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"),
+        SQLTransformer(statement=f"SELECT *, {_RULE} AS prediction FROM __THIS__")])
+    return score(model, events_panel(spark, sf).drop("ts", "event_id"), "rule", run_ts="run")
+
+
+@register("batch_score_written_events", _with(f"""
+SELECT unit_number, time_in_cycles, {_rs('p', 6)} AS predicted_rul,
+       CASE WHEN p IS NOT NULL THEN {RISK_SQL.format(p='p')} END AS risk_level,
+       'run' AS prediction_timestamp, 'rule' AS model_used FROM rule""",
+    panel=EVENTS_PANEL_SQL, rule=_RULE_SQL))
+def q_batch_score_written_events(spark, sf):
+    """Every row scored, written and read back; a unit's first cycles have no
+    prediction."""
+    from cyclewise.plans.scoring import score_to
+    from cyclewise.sources.streams import scratch_path
+    path = scratch_path(spark, "predictions")
+    score_to(_rule_scores(spark, sf), path)
+    return spark.read.parquet(path).withColumn("predicted_rul", _r("predicted_rul", 6))
+
+
+@register("batch_score_stats_events", _with(f"""
+SELECT CAST(count(*) AS BIGINT) AS total_records, {_rs('avg(p)', 6)} AS mean_rul,
+       {_rs('min(p)', 6)} AS min_rul, {_rs('max(p)', 6)} AS max_rul,
+       {_rs('stddev_pop(p)', 6)} AS std_rul,
+       CAST(count(*) FILTER (p < 20) AS BIGINT) AS critical_count,
+       CAST(count(*) FILTER (p >= 20 AND p < 50) AS BIGINT) AS high_risk_count,
+       CAST(count(*) FILTER (p >= 50 AND p < 100) AS BIGINT) AS medium_risk_count,
+       CAST(count(*) FILTER (p >= 100) AS BIGINT) AS low_risk_count,
+       CAST(count(*) FILTER (p IS NULL) AS BIGINT) AS unscored_count FROM rule""",
+    panel=EVENTS_PANEL_SQL, rule=_RULE_SQL))
+def q_batch_score_stats_events(spark, sf):
+    """Statistics observed while the predictions are written, as JSON read back."""
+    from cyclewise.plans.scoring import score_to
+    from cyclewise.sources.streams import scratch_path
+    path = scratch_path(spark, "predictions")
+    stats = score_to(_rule_scores(spark, sf), path)
+    # one row by nature: the statistics of the run
+    io.write_metrics_json(spark.createDataFrame([stats]), path + "_stats")
+    return _round_cols(spark.read.json(path + "_stats"),
+                       ["mean_rul", "min_rul", "max_rul", "std_rul"], 6)
+
 # --- W8-W10, J2, M12: sequences and neighbours -----------------------------------
 from cyclewise.operators import sequences as seqs  # noqa: E402
 from cyclewise.operators.knn import knn_regress  # noqa: E402

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,10 +119,6 @@ def write_predictions(df: DataFrame, out: str | None = None, base: str = "predic
     return out
 
 
-def exists(path: str) -> bool:
-    return os.path.exists(path)
-
-
 def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly under ``path`` on any Hadoop file system
     (local, HDFS, object stores), via the session's Hadoop configuration."""

@@ -7,7 +7,7 @@
 * ``stream_features`` (T2): lag / rolling features on a stream. Window functions
   are not allowed on streams, so each unit keeps its last ``H`` rows in state
   (``applyInPandasWithState``); a row whose cycle is not after the unit's last
-  seen cycle is late: it is dropped and counted in the state.
+  seen cycle, or repeats one of its batch, is dropped and counted.
 * ``stream_risk_counts`` (T3): continuous count per risk band.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cyclewise.functions.risk import risk_level
 from cyclewise.operators.features import feature_names, lag_name, rolling_names
-from cyclewise.schema import CYCLE, LAGS, STREAM_BATCH, UNIT, WINDOWS
+from cyclewise.schema import CYCLE, LAGS, UNIT, WINDOWS
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -97,11 +97,13 @@ def _state_schema(cols):
 
 
 def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
-                    unit: str = UNIT, cycle: str = CYCLE, timeout: str | None = None) -> DataFrame:
+                    unit: str = UNIT, cycle: str = CYCLE, timeout: str | None = None,
+                    dropped: str | None = None) -> DataFrame:
     """Per-unit lag / rolling features over a stream of (unit, cycle, cols...).
 
     Output: (unit, cycle, cols..., features...) for each accepted row, equal to the
     batch ``window_features`` on the same rows when every unit's cycles arrive in order.
+    ``dropped`` names an output column with the unit's rows dropped so far, late or repeated.
     """
     lags, windows = list(lags), list(windows)
     keep = max([1] + lags + [n - 1 for n in windows])
@@ -109,7 +111,8 @@ def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDO
     out_schema = T.StructType(
         [T.StructField(unit, T.LongType()), T.StructField(cycle, T.LongType())]
         + [T.StructField(c, T.DoubleType()) for c in cols]
-        + [T.StructField(n, T.DoubleType()) for n in names])
+        + [T.StructField(n, T.DoubleType()) for n in names]
+        + ([T.StructField(dropped, T.LongType())] if dropped else []))
     state_schema = _state_schema(cols)
 
     def fn(key, pdfs, state):
@@ -129,7 +132,9 @@ def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDO
             ok = new[cycle] > last
             late += int((~ok).sum())
             new = new[ok]
-        new = new.drop_duplicates(subset=[cycle], keep="first")
+        first = ~new.duplicated(subset=[cycle])
+        late += int((~first).sum())
+        new = new[first]
         if len(new):
             both = pd.concat([hist, new[[cycle, *cols]]], ignore_index=True)
             for c in cols:
@@ -152,7 +157,9 @@ def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDO
             if timeout:
                 state.setTimeoutDuration(timeout)
             res = res.replace({np.nan: None})
-            yield res[[unit, cycle, *cols, *names]]
+            if dropped:
+                res[dropped] = late
+            yield res[[unit, cycle, *cols, *names, *([dropped] if dropped else [])]]
         elif state.exists:
             s = state.get
             state.update((s[0], late, *s[2:]))
@@ -166,8 +173,3 @@ def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDO
 def stream_risk_counts(stream: DataFrame, p: str = "predicted_rul") -> DataFrame:
     """Running count of rows per risk band (use outputMode 'complete' or 'update')."""
     return stream.groupBy(risk_level(p).alias("risk_level")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def batch_size_files(n_rows: int, batch: int = STREAM_BATCH) -> int:
-    """Number of source files of ``batch`` rows needed for n rows (writer side)."""
-    return (n_rows + batch - 1) // batch

@@ -79,3 +79,11 @@ def test_gapped_cycles_use_row_positions(spark):
     got = feat.add_lags(spark.createDataFrame(pdf), ["s"], [1], block_rows=2).toPandas() \
         .sort_values("time_in_cycles")
     assert got["s_lag_1"].tolist()[1:] == [1.0, 2.0, 3.0, 4.0, 5.0]
+
+
+def test_drop_incomplete_counts_what_it_drops(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("nan")), (None, 4.0)],
+                               "a long, x double")
+    rows, seen = feat.drop_incomplete(df, observe=True)
+    assert [tuple(r) for r in rows.collect()] == [(1, 1.0)]
+    assert seen.get == {"dropped": 3}

@@ -42,3 +42,18 @@ def test_stream_features_equal_batch_and_drop_late(spark):
     assert len(got) == 90  # the late row (unit 1, cycle 5) is dropped
     for c in ["s_lag_1", "s_lag_3", "s_rolling_mean_5", "s_rolling_std_5"]:
         np.testing.assert_array_equal(got[c].to_numpy(float), batch[c].to_numpy(float))
+
+
+def test_stream_features_counts_dropped_rows(spark):
+    schema = "unit_number long, time_in_cycles long, s double"
+    base = tempfile.mkdtemp(prefix="cw-stream-")
+    src, out = os.path.join(base, "src"), os.path.join(base, "out")
+    # one repeat inside the first batch, one late row in the second
+    for part in [[(1, 1, 1.0), (1, 2, 2.0), (1, 2, 5.0)], [(1, 1, 9.0), (1, 3, 3.0)]]:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+    st = stream_features(read_stream(spark, src, schema), ["s"], [1], [2], dropped="dropped")
+    st.writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", os.path.join(base, "ck")).trigger(availableNow=True) \
+        .start().awaitTermination()
+    got = spark.read.parquet(out).orderBy("time_in_cycles").collect()
+    assert [(r.time_in_cycles, r.dropped) for r in got] == [(1, 1), (2, 1), (3, 2)]
