@@ -342,6 +342,30 @@ def test_join_odd_rows(spark, odd):
     assert ngram_join.similar_components(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block,size", [(2048, 1 << 20), (4, 1 << 20), (2048, 600)])
+def test_join_counts_every_link(spark, docs, monkeypatch, block, size):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", size)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 32)
+    rng = random.Random(5)
+    texts = list(docs.text)
+    for i in range(25):  # near copies of three lengths: bands, and links beyond a spanning tree
+        words = [f"w{j}" for j in range(rng.choice([120, 132, 144]))]
+        for j in rng.sample(range(120), rng.randrange(2)):
+            words[j] = f"z{i}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n_links"] for r in run(ngram_join.similar_components(df))}
+    sets = []
+    for t in texts:
+        w = re.findall(WS, (t or "").translate(LOWER))
+        sets.append(frozenset(tuple(w[i:i + 4]) for i in range(max(1, len(w) - 3))) if w else frozenset())
+    classes = set(sets)
+    want = {i: sum(1 for o in classes if o != s and 100 * len(s & o) >= 85 * len(s | o)) if s else 0
+            for i, s in enumerate(sets)}
+    assert got == want and max(want.values()) > 5
+
+
 # ---- decontamination
 
 
