@@ -905,7 +905,8 @@ def q_stream_risk_counts_events(spark, sf):
 @register("stream_score_events")
 def q_stream_score_events(spark, sf):
     """T1 + T2: stream features, then a ridge model fitted on the batch feature table
-    scores every micro-batch in foreachBatch; returns the scored rows."""
+    scores every micro-batch in foreachBatch; returns every row of the stream, with a NULL
+    prediction and band where features are incomplete, and the count of such rows."""
     from cyclewise.ml import models as mdl
     from cyclewise.sources.streams import scratch_path
     from cyclewise.streaming.scorer import read_stream, score_stream, stream_features, \
@@ -916,11 +917,12 @@ def q_stream_score_events(spark, sf):
     src, schema = _ev_stream_source(spark, sf)
     out, ck = scratch_path(spark, "score-out"), scratch_path(spark, "score-ck")
     feats = stream_features(read_stream(spark, src, schema, max_files=4), EV_COLS)
-    complete = feats.na.drop("any")
-    n = score_stream(complete, model, write_batches_to(out), ck)
+    n = score_stream(feats, model, write_batches_to(out), ck)
     res = spark.read.parquet(out)
+    bare = res.where("prediction IS NULL").count()
     return res.select("unit_number", "time_in_cycles", F.col("prediction").alias("predicted_rul"),
-                      _risk("prediction").alias("risk_level"), F.lit(n).alias("batches"))
+                      F.when(F.col("prediction").isNotNull(), _risk("prediction")).alias("risk_level"),
+                      F.lit(n).alias("batches"), F.lit(bare).alias("unscored_count"))
 
 
 # --- S1-S9: sources and sinks (round trips through the shared scratch folder) ----

@@ -24,6 +24,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cyclewise.functions.risk import risk_level
 from cyclewise.operators.features import feature_names, lag_name, rolling_names
+from cyclewise.plans.scoring import complete_features
 from cyclewise.schema import CYCLE, LAGS, UNIT, WINDOWS
 
 
@@ -39,12 +40,15 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 def score_stream(stream: DataFrame, model, callback: Callable[[DataFrame, int], None],
                  checkpoint: str) -> int:
-    """Score every micro-batch with ``model`` and hand it to ``callback(preds, batch_id)``.
+    """Score every micro-batch with ``model`` and hand it to ``callback(preds, batch_id)``,
+    every row of it: one with incomplete features or a NaN result has a NULL prediction.
     Runs until the source is drained; returns the number of batches processed."""
     seen = []
 
     def each(batch: DataFrame, batch_id: int):
-        callback(model.transform(batch), batch_id)
+        out = model.transform(batch)
+        p = F.when(complete_features(model, out) & ~F.isnan("prediction"), F.col("prediction"))
+        callback(out.withColumn("prediction", p), batch_id)
         seen.append(batch_id)
 
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint) \

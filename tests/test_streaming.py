@@ -57,3 +57,16 @@ def test_stream_features_counts_dropped_rows(spark):
         .start().awaitTermination()
     got = spark.read.parquet(out).orderBy("time_in_cycles").collect()
     assert [(r.time_in_cycles, r.dropped) for r in got] == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_stream_score_returns_every_row(spark):
+    """Incomplete rows (a unit's first 12 cycles, all of a short unit) have no prediction."""
+    from cyclewise.plans.queries import QUERIES
+    from cyclewise.sources.panels import events_panel
+    sf = "/root/testdata/sf0.001"
+    got = QUERIES["stream_score_events"](spark, sf).toPandas()
+    want = events_panel(spark, sf).select("unit_number", "time_in_cycles").toPandas()
+    assert sorted(zip(got.unit_number, got.time_in_cycles)) == sorted(zip(want.unit_number, want.time_in_cycles))
+    bare = got.time_in_cycles <= 12
+    assert bare.any() and (got.predicted_rul.isna() == bare).all() and (got.risk_level.isna() == bare).all()
+    assert (got.unscored_count == bare.sum()).all()
