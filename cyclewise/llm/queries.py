@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import (chat, decontaminate, licenses, mixing, ngram_join, quality_classifier,
-                           quality_rules, secrets, shard, suffix_dedup)
+from cyclewise.llm import (chat, decontaminate, licenses, mixing, ngram_join, periodic_runs,
+                           quality_classifier, quality_rules, secrets, shard, suffix_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -220,3 +220,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("key").alias("law"))
     return shard.shard_documents(rows).select("doc_id", "size", "text_crc32", "law", "shard",
                                               "slot", "grown_shard")
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.find_runs(table(spark, sf_dir, "documents"), tails=True, with_text=False)

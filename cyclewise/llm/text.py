@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +29,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def pick(docs: DataFrame, **named: str) -> DataFrame:
+    """Columns of ``docs`` under new names (new=old). Old names are matched as written, so other
+    columns, also ones that differ in case alone, cannot clash with them."""
+    plain = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    return plain.select(*[F.col(f"_{docs.columns.index(old)}").alias(new)
+                          for new, old in named.items()])
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (xor-shift-multiply), vectorised."""
     h = (h ^ (h >> np.uint64(30))) * _M1
