@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclewise.llm import (chat, decontaminate, licenses, mixing, ngram_join, periodic_runs,
-                           quality_classifier, quality_rules, secrets, shard, suffix_dedup)
+from cyclewise.llm import (chat, decontaminate, licenses, mixing, ngram_join, periodic_runs, pii,
+                           quality_classifier, quality_rules, secrets, shard, source_divergence,
+                           suffix_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -222,6 +223,73 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               "slot", "grown_shard")
 
 
+@query("op11_pii")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans, kind):
+        return F.transform(spans, lambda x: F.concat_ws(
+            ":", kind(x), x["start"].cast("string"), x["end"].cast("string")))
+
+    base = joined("base", lambda x: x["kind"])
+    terms = joined("terms", lambda x: F.lit("term"))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS],
+                        F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
+                        F.array_join(F.concat(base, terms), ",").alias("spans"),
+                        F.size("terms").cast("long").alias("n_terms"),
+                        F.size(F.filter("terms", lambda x: x["removed"])).cast("long").alias("n_removed"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS t
+  FROM documents),
+w AS (
+  SELECT k, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d),
+per AS (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT k) AS docs FROM w GROUP BY ALL),
+kept AS (
+  SELECT lang, term, sum(n) AS total FROM per GROUP BY lang, term HAVING sum(docs) >= 10),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS size FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+sizes AS (
+  SELECT p.lang, p.source, sum(p.n) AS size FROM per p JOIN kept USING (lang, term) GROUP BY ALL),
+share AS (
+  SELECT g.lang, g.source, k.term, coalesce(p.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(p.n, 0) + 2) // (coalesce(s.size, 0) + 2 * l.v) AS p,
+         1 + 1000000000::HUGEINT * (k.total + 2) // (l.size + 2 * l.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang
+  LEFT JOIN sizes s ON g.lang = s.lang AND g.source = s.source
+  LEFT JOIN per p ON g.lang = p.lang AND g.source = p.source AND k.term = p.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM share WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 @query("op13_periodic_runs")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.find_runs(table(spark, sf_dir, "documents"), tails=True, with_text=False)
