@@ -168,7 +168,7 @@ def _corrections(batches):
     """Partial sums (lang, a, b, value) of the rows of a sorted partition, block by block."""
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), dtype=object)
-        size = np.asarray(pa.compute.list_value_length(batch.column(1)))
+        size = np.asarray(batch.column(1).value_lengths())
         at = 0
         while at < len(langs):
             # a block: one language, about BLOCK numbers when laid out side by side
