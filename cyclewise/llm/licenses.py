@@ -22,6 +22,8 @@ equal results; extra columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -114,34 +116,53 @@ def align(doc: np.ndarray, template: np.ndarray, diagonal: int, band: int = BAND
     """Best local alignment inside the band: (score, matched words, start, end) or None.
 
     Cell (i, j) pairs template word i with document word j in [lo, hi),
-    |j - i - diagonal| <= band."""
+    |j - i - diagonal| <= band. A match scores 2, a mismatch or gap -1; of equal scores more
+    matched words, then the earlier start win. The three are one number per cell, so that a row
+    of the band is a few array steps: a gap along the row is a running maximum."""
     hi = len(doc) if hi is None else hi
-    n, off = len(template), diagonal - band
-    width = 2 * band + 1
-    score = np.zeros((n + 1, width + 2), np.int64)
-    match = np.zeros((n + 1, width + 2), np.int64)
-    begin = np.zeros((n + 1, width + 2), np.int64)
-    begin[0, 1:-1] = np.arange(off, off + width)
-    best = (0, 0, 0, 0)
-    for i in range(1, n + 1):
-        for b in range(1, width + 1):
-            j = i - 1 + off + b - 1  # document word
-            if j < lo or j >= hi:
-                begin[i, b] = j + 1
-                continue
-            same = template[i - 1] == doc[j]
-            options = [(score[i - 1, b] + (2 if same else -1), match[i - 1, b] + same,
-                        begin[i - 1, b]),
-                       (score[i - 1, b + 1] - 1, match[i - 1, b + 1], begin[i - 1, b + 1]),
-                       (score[i, b - 1] - 1, match[i, b - 1], begin[i, b - 1])]
-            top = max(options, key=lambda o: (o[0], o[1], -o[2]))
-            if top[0] <= 0:
-                begin[i, b] = j + 1
-                continue
-            score[i, b], match[i, b], begin[i, b] = top
-            if (top[0], top[1]) > best[:2]:
-                best = (int(top[0]), int(top[1]), int(top[2]), j + 1)
-    return best if best[0] > 0 else None
+    n, off, width = len(template), diagonal - band, 2 * band + 1
+    # bits of a cell: 22 score, 20 matched words, 21 the start counted back from the band's first
+    late, match_unit, score_unit = (1 << 21) - 1, 1 << 21, 1 << 41
+    steps = score_unit * np.arange(width)  # cost of coming along the row
+    base = np.arange(width)
+    above = late - base  # score 0, no match, start j
+    best, best_key = None, 0
+    for i in range(n):
+        j = base + off + i
+        inside = (j >= lo) & (j < hi)
+        fresh = late - (base + i + 1)
+        same = np.zeros(width, bool)
+        same[inside] = doc[j[inside]] == template[i]
+        key = above + np.where(same, 2 * score_unit + match_unit, -score_unit)
+        key[:-1] = np.maximum(key[:-1], above[1:] - score_unit)
+        key = np.where(inside, key, fresh)
+        key = np.maximum.accumulate(key + steps) - steps
+        above = np.where(inside & (key >= score_unit), key, fresh)
+        top = above >> 21
+        if top.max() > best_key:
+            b = int(top.argmax())
+            best_key = int(top[b])
+            best = (best_key >> 20, best_key & ((1 << 20) - 1), off + late - int(above[b] & late), int(j[b]) + 1)
+    return best
+
+
+def _verbatim(doc: np.ndarray, template: np.ndarray, diagonal: int, lo: int, hi: int):
+    """The first place of the band where the template stands word for word: no alignment of the
+    band scores more, and of those that score as much it is the first."""
+    n = len(template)
+    for at in range(max(diagonal - BAND, lo), min(diagonal + BAND, hi - n) + 1):
+        if doc[at] == template[0] and np.array_equal(doc[at:at + n], template):
+            return 2 * n, n, at, at + n
+    return None
+
+
+def _shared(doc: np.ndarray, words: np.ndarray, counts: np.ndarray) -> int:
+    """Most template words that an alignment with these document words can match."""
+    if not len(doc):
+        return 0
+    at = np.searchsorted(words, doc)
+    at[at == len(words)] = 0
+    return int(np.minimum(np.bincount(at[words[at] == doc], minlength=len(words)), counts).sum())
 
 
 def find(raw: bytes, index: Index, min_coverage: float = MIN_COVERAGE) -> list[dict]:
@@ -149,16 +170,25 @@ def find(raw: bytes, index: Index, min_coverage: float = MIN_COVERAGE) -> list[d
     s, e, w = word_hashes(raw)
     found = []
     for k, hits in sorted(index.hits(w).items()):
+        template = index.words[k]
+        needed, (distinct, counts) = min_coverage * len(template), np.unique(template, return_counts=True)
+        places = [p for p, _ in hits]
         parts = [(0, len(w))]  # stretches of the document in which to look for occurrences
         while parts:
             lo, hi = parts.pop()
             tried: set[int] = set()
-            for p, t in hits:
-                if not lo <= p < hi or p - t in tried:
+            for h in range(bisect_left(places, lo), bisect_left(places, hi)):
+                p, t = hits[h]
+                if p - t in tried:
                     continue
                 tried.add(p - t)
-                got = align(w, index.words[k], p - t, lo=lo, hi=hi)
-                if got and got[1] >= min_coverage * len(index.words[k]):
+                got = _verbatim(w, template, p - t, lo, hi)
+                if not got:
+                    window = w[max(p - t - BAND, lo):min(p - t + BAND + len(template), hi)]
+                    if _shared(window, distinct, counts) < needed:
+                        continue
+                    got = align(w, template, p - t, lo=lo, hi=hi)
+                if got and got[1] >= needed:
                     found.append((got[2], got[3], got[1], k))
                     parts += [(lo, got[2]), (got[3], hi)]
                     break
@@ -166,11 +196,11 @@ def find(raw: bytes, index: Index, min_coverage: float = MIN_COVERAGE) -> list[d
         return []
     # overlapping matches: the one with more matched words stays, then the leftmost
     found = sorted(set(found), key=lambda x: (-x[2], -x[2] / len(index.words[x[3]]), x[0], x[3]))
-    kept = []
+    kept: list[tuple] = []
     for f in found:
-        if all(f[1] <= a or f[0] >= b for a, b, *_ in kept):
-            kept.append(f)
-    kept.sort()
+        k = bisect_left(kept, f)
+        if (k == 0 or kept[k - 1][1] <= f[0]) and (k == len(kept) or f[1] <= kept[k][0]):
+            kept.insert(k, f)
     at = X.code_points(np.frombuffer(raw, np.uint8),
                        np.array([[s[a], e[b - 1]] for a, b, *_ in kept]))
     return [{"license": index.names[k], "template": k, "matched": m,

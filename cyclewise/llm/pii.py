@@ -105,11 +105,6 @@ def entities(raw: bytes) -> list[tuple[int, int, int, bytes]]:
     return out
 
 
-def _points(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Code-point offsets of byte offsets, with memory for the text's non-ASCII bytes alone."""
-    return at - np.searchsorted(np.flatnonzero((buf & 0xC0) == 0x80), at)
-
-
 def _class_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of the first PREFIX code points of words."""
     first = np.full((len(starts), PREFIX + 1), len(buf), np.int64)
@@ -158,7 +153,7 @@ def near_words(raw: bytes, found: list[tuple[int, int, int, bytes]], reach: int
     words = hashes[place].view(np.int64)
     used, back = np.unique(place, return_inverse=True)
     classes = _class_hashes(buf, starts[used], ends[used])[back].view(np.int64) if len(used) else words
-    return (owner, words, classes, _points(buf, starts[place]), _points(buf, ends[place]),
+    return (owner, words, classes, X.code_points(buf, starts[place]), X.code_points(buf, ends[place]),
             _first(owner, words), _first(owner, classes))
 
 
@@ -189,7 +184,7 @@ def _find(reach: int):
                     base.append([])
                     owners.append([])
                     continue
-                at = _points(np.frombuffer(raw, np.uint8), np.array([x[1:3] for x in found])).tolist()
+                at = X.code_points(np.frombuffer(raw, np.uint8), np.array([x[1:3] for x in found])).tolist()
                 base.append([{"kind": KINDS[x[0]], "start": s, "end": t} for x, (s, t) in zip(found, at)])
                 owners.append(sorted({_value_hash(x[0], x[3]) for x in found}))
                 near = near_words(raw, found, reach)

@@ -51,11 +51,13 @@ EXPRESSIONS = {
     "hex": re.compile(rb"[0-9a-f]+"),
     "github": re.compile(rb"gh[pousr]_([A-Za-z0-9]+)"),
     "npm": re.compile(rb"npm_([A-Za-z0-9]+)"),
-    "jwt": re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    "jwt": re.compile(rb"(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"),
     "pem": re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
 }
 BASE62 = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 HEX_RUN = 24
+# a run of these ends at the same place for all of its anchors: where one fails, they all fail
+_JWT_RUN = re.compile(rb"[A-Za-z0-9_-]++")
 
 _HEX_CLASS = bytes(0x68 if chr(i) in "0123456789abcdef" else 0x2E for i in range(256))
 
@@ -121,6 +123,8 @@ def find(raw: bytes) -> list[tuple[str, int, int]]:
             past[kind] = m.end()
             if _valid(kind, m):
                 out.append((kind, at, m.end()))
+        elif kind == "jwt" and (m := _JWT_RUN.match(raw, at)):
+            past[kind] = m.end()
     out.sort(key=lambda x: (x[1], KINDS.index(x[0])))
     return out
 

@@ -2,7 +2,8 @@
 
 All of them work on the UTF-8 bytes of a batch of documents (one NumPy buffer plus
 offsets), so a task's memory is one Arrow batch plus a few arrays over one segment of
-at most ``SEGMENT`` bytes, whatever the length of a document.
+about ``SEGMENT`` bytes, whatever the length of a document. A single word longer than that
+is one segment, whose bytes are held a few times over; its hash is taken by pieces.
 """
 
 from __future__ import annotations
@@ -121,6 +122,14 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     if not len(starts):
         return np.empty(0, np.uint64)
     n = ends - starts
+    if n.max() > SEGMENT:  # spans without end are hashed by pieces
+        long = np.flatnonzero(n > SEGMENT)
+        out = np.empty(len(n), np.uint64)
+        rest = np.ones(len(n), bool)
+        rest[long] = False
+        out[rest] = span_hashes(buf, starts[rest], ends[rest])
+        out[long] = [_long_hash(buf[starts[k]:ends[k]]) for k in long.tolist()]
+        return out
     first = np.cumsum(n) - n
     inside = np.arange(int(n.sum())) - np.repeat(first, n)
     top = int(n.max())
@@ -131,6 +140,15 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix64(np.add.reduceat(v, first) + n.astype(np.uint64) * _M1)
 
 
+def _long_hash(span: np.ndarray) -> np.uint64:
+    """The hash of one span, with memory for a piece of it."""
+    pw, total, mask = powers(_BASE, 1 << 16), 0, (1 << 64) - 1
+    for at in range(0, len(span), len(pw)):
+        piece = span[at:at + len(pw)].astype(np.uint64) + np.uint64(1)
+        total += int((piece * pw[:len(piece)]).sum(dtype=np.uint64)) * pow(int(_BASE), at, 1 << 64)
+    return mix64(np.array([(total & mask)], np.uint64) + np.uint64(len(span)) * _M1)[0]
+
+
 def ngram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all k consecutive words given the words' hashes (empty with fewer words)."""
     if len(h) < k:
@@ -143,9 +161,9 @@ def ngram_hashes(h: np.ndarray, k: int) -> np.ndarray:
 
 
 def code_points(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Code-point offsets of byte offsets ``at`` of one document."""
-    before = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-    return before[at]
+    """Code-point offsets of byte offsets ``at`` (whole characters) of one document, with memory
+    for its non-ASCII bytes alone."""
+    return at - np.searchsorted(np.flatnonzero((buf & 0xC0) == 0x80), at)
 
 
 @F.arrow_udf(T.LongType())

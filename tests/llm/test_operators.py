@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -17,6 +19,7 @@ from cyclewise.llm import (chat, decontaminate, licenses, mixing, ngram_join, qu
 SF = "/root/testdata/sf0.001"
 WS = r"[^\x20\x09-\x0D]+"
 LOWER = {i: i + 32 for i in range(65, 91)}
+SLOW = 2  # times a machine may be slower than the stated limits
 
 
 @pytest.fixture(scope="module")
@@ -454,3 +457,91 @@ def test_shard_query_columns(spark, docs):
     got = queries.QUERIES["op10_shard"](spark, SF).toPandas().set_index("doc_id")
     for i, t in zip(docs.doc_id, docs.text):
         assert (got["size"][i], got.text_crc32[i]) == (len(t.encode()) + 16, zlib.crc32(t.encode()))
+
+
+# ---- hostile texts
+@pytest.mark.parametrize("piece", ["Released under the MIT License. ", licenses.TEMPLATES[1][1] + " ", "under the MIT "])
+def test_license_scan_of_one_notice_over_and_over(piece):
+    index, began = licenses.Index(licenses.TEMPLATES), time.time()
+    n = 1_000_000 // len(piece)
+    found = licenses.find((piece * n).encode(), index)
+    assert time.time() - began < 5 * SLOW
+    assert len(found) == (n if licenses.find(piece.encode(), index) else 0)
+
+
+def plain_align(doc, template, diagonal, band, lo, hi):
+    """The band cell by cell: best (score, matched, -start) of each cell."""
+    n, best, cell = len(template), None, {}
+    for i in range(-1, n):
+        for j in range(i + diagonal - band, i + diagonal + band + 1):
+            fresh = (0, 0, -(j + 1))
+            if i < 0 or not lo <= j < hi:
+                cell[i, j] = fresh
+                continue
+            same = int(template[i] == doc[j])
+            options = [(cell[i - 1, j - 1], 2 if same else -1, same)]
+            options += [(cell[c], -1, 0) for c in ((i - 1, j), (i, j - 1)) if c in cell]
+            top = max((s + ds, m + dm, b) for (s, m, b), ds, dm in options)
+            cell[i, j] = top if top[0] > 0 else fresh
+            if top[0] > 0 and (best is None or top[:2] > best[:2]):
+                best = (top[0], top[1], -top[2], j + 1)
+    return best
+
+
+def test_license_alignment_equals_the_band_cell_by_cell():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        doc = rng.integers(0, 5, rng.integers(1, 40)).astype(np.uint64)
+        template = rng.integers(0, 5, rng.integers(1, 15)).astype(np.uint64)
+        diagonal, band = int(rng.integers(-8, 30)), int(rng.integers(1, 6))
+        lo = int(rng.integers(0, len(doc)))
+        hi = int(rng.integers(lo, len(doc) + 1))
+        assert licenses.align(doc, template, diagonal, band, lo, hi) == plain_align(doc, template, diagonal, band, lo, hi)
+
+
+@pytest.mark.parametrize("piece", [b"eyJ", b"eyJ.", b"eyJa.b ", b"token", b"token=", b"AKIA", b"-----BEGIN A ", b"0123456789abcdef"])
+def test_secret_scan_is_linear(piece):
+    began = time.time()
+    secrets.find(piece * (1_000_000 // len(piece)))
+    assert time.time() - began < 5 * SLOW
+
+
+def test_web_tokens_in_one_run():
+    head = b"eyJhbGciOiJIUzI1NiJ9"
+    token = head + b".eyJzdWIiOiIxIn0.c2ln"
+    for text, n in ((b"eyJx eyJ" + token, 0), (b"eyJeyJ " + token, 1), (token + b"." + token, 2),
+                    (b"eyJ." + token, 0), (token + b" " + token, 2), (b"eyJeyJeyJ.", 0)):
+        plain = [m.span() for m in re.finditer(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", text)
+                 if text[m.start():m.start() + len(head)] == head]
+        assert [(a, b) for k, a, b in secrets.find(text) if k == "jwt"] == plain, text
+        assert len(plain) == n
+
+
+def test_word_without_end_is_hashed_by_pieces():
+    rng = np.random.default_rng(3)
+    word = rng.integers(97, 123, 3 * X.SEGMENT + 5).astype(np.uint8)
+    text = np.concatenate([np.frombuffer(b"ab ", np.uint8), word, np.frombuffer(b" ab", np.uint8)])
+    starts, ends, h = X.words(text, X.NOT_SPACE)
+    total = 0
+    for at, b in enumerate(word[:50].tolist()):
+        total += (b + 1) * pow(int(X._BASE), at, 1 << 64)
+    short = X.mix64(np.array([total & (2**64 - 1)], np.uint64) + np.uint64(50) * X._M1)[0]
+    assert X._long_hash(word[:50]) == short == X.span_hashes(word, np.array([0]), np.array([50]))[0]
+    assert h[0] == h[2] and h[1] == X._long_hash(word) and ends[1] - starts[1] == len(word)
+
+
+def test_word_of_fifty_megabytes():
+    raw = np.full(50_000_000, 97, np.uint8)
+    began = time.time()
+    tracemalloc.start()
+    assert len(X.words(raw, X.NOT_SPACE, lower=True)[2]) == 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(raw) and time.time() - began < 5 * SLOW
+
+
+def test_code_points_of_byte_places():
+    text = "aé漢𝄞b é"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    at = np.array([len(text[:k].encode()) for k in range(len(text) + 1)])
+    assert X.code_points(raw, at).tolist() == list(range(len(text) + 1))
