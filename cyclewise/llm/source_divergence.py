@@ -61,11 +61,8 @@ def terms(raw: bytes) -> list[bytes]:
 
 
 def _apart(p: Column, q: Column) -> Column:
-    """f: shares are below 2^30, so the square fits a long; division of longs is exact."""
-    d = p - q
-    # d*d - (d*d mod s) is a multiple of s
-    s = p + q
-    return F.call_function("div", d * d, s)
+    """f: shares are at most SCALE + 1, so the square fits a long; ``div`` of longs is exact."""
+    return F.call_function("div", (p - q) * (p - q), p + q)
 
 
 def _share(count, n: Column, v: Column) -> Column:
@@ -80,20 +77,18 @@ _COUNTS = T.StructType([T.StructField("lang", T.StringType()), T.StructField("so
 
 
 def _count(batches):
-    """Occurrences and documents of each (language, source, term) seen by a task so far, and one
-    row with a null term for each group."""
+    """Occurrences and documents of each (language, source, term) seen by a task so far."""
     found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     held = 0
 
     def rows():
         for (lang, source), (total, docs) in found.items():
-            words = list(total)
-            n = len(words) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * n), pa.array([source] * n),
-                 pa.array([None, *[w.decode() for w in words]], pa.string()),
-                 pa.array([0, *total.values()], pa.int64()),
-                 pa.array([0, *[docs[w] for w in words]], pa.int64())], names=_COUNTS.names)
+            n = len(total)
+            if n:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * n), pa.array([source] * n), pa.array([w.decode() for w in total]),
+                     pa.array(total.values(), pa.int64()), pa.array([docs[w] for w in total], pa.int64())],
+                    names=_COUNTS.names)
 
     for batch in batches:
         groups = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
@@ -111,11 +106,8 @@ def _count(batches):
     yield from rows()
 
 
-def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                source_col: str = "source") -> DataFrame:
-    """(lang, source, term, n, docs): occurrences and documents; a null term for each group."""
-    frame = X.pick(docs, text=text_col, lang=lang_col, source=source_col).select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
+def term_counts(frame: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences and documents."""
     return (frame.mapInArrow(_count, _COUNTS).groupBy("lang", "source", "term")
             .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
@@ -193,10 +185,11 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
           min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank): ``pair`` rows against every other source of the
     language, ``term`` rows for the ``top`` terms that a group uses more than its language."""
-    counts = reliable_checkpoint(term_counts(docs, text_col, lang_col, source_col))
+    frame = X.pick(docs, text=text_col, lang=lang_col, source=source_col).select(
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     of_term = Window.partitionBy("lang", "term")
     kept = reliable_checkpoint(
-        counts.where("term IS NOT NULL")
+        term_counts(frame)
         .select("lang", "source", "term", "n", F.sum("docs").over(of_term).alias("df"),
                 F.sum("n").over(of_term).alias("total"),
                 F.min("source").over(of_term).alias("least"))
@@ -207,7 +200,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count_if("once").alias("terms"))
     by_lang = Window.partitionBy("lang")
     groups = reliable_checkpoint(
-        counts.where("term IS NULL").select("lang", "source").join(sizes, ["lang", "source"], "left")
+        frame.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left")
         .select("lang", "source", F.coalesce("size", F.lit(0)).alias("size"),
                 F.sum(F.coalesce("terms", F.lit(0))).over(by_lang).alias("v"),
                 F.sum(F.coalesce("size", F.lit(0))).over(by_lang).alias("lang_size"),
