@@ -50,9 +50,9 @@ def regression_metrics(df: DataFrame, y: str, p: str, by: list[str] | str | None
     return d.agg(*metric_exprs(y, p))
 
 
-def training_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
-    """A2: mse, rmse, mae, r2 on the training rows."""
-    return regression_metrics(df, y, p).select("mse", "rmse", "mae", "r2")
+def training_metrics(df: DataFrame, y: str, p: str, by: str | None = None) -> DataFrame:
+    """A2: mse, rmse, mae, r2 on the training rows, or one row per ``by`` group."""
+    return regression_metrics(df, y, p, by).select(*([by] if by else []), "mse", "rmse", "mae", "r2")
 
 
 def prediction_stat_exprs(p: str) -> list[Column]:

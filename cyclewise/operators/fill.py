@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cyclewise.operators.modes import column_modes
 from cyclewise.operators.position import range_scan, value_bucket, with_position
 from cyclewise.schema import CYCLE, NUMERIC_FILL, STRING_FILL, UNIT
 
@@ -100,8 +101,8 @@ def fill_remaining(df: DataFrame, cols: list[str] | None = None,
     """Fill NULLs left after ffill/bfill (only all-null columns remain).
 
     ``constant``: numeric -> 0, string -> "unknown". ``mean`` / ``mode``: the
-    column mean (numeric) or most frequent value (string), falling back to the
-    constants when a column has no value at all. Statistics: one aggregate row.
+    column mean (numeric) or most frequent value (strings, and numbers for ``mode``; of equally
+    frequent ones the least), falling back to the constants when a column has no value at all.
     """
     cols = cols or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -110,16 +111,10 @@ def fill_remaining(df: DataFrame, cols: list[str] | None = None,
     fills = {c: NUMERIC_FILL for c in num}
     fills.update({c: STRING_FILL for c in txt})
     if strategy in ("mean", "mode") and (num or txt):
-        aggs = [F.avg(c).alias(f"m{i}") for i, c in enumerate(num)] if strategy == "mean" else \
-            [F.mode(c).alias(f"m{i}") for i, c in enumerate(num)]
-        aggs += [F.mode(c).alias(f"t{i}") for i, c in enumerate(txt)]
-        r = df.agg(*aggs).first()
-        for i, c in enumerate(num):
-            if r[f"m{i}"] is not None:
-                fills[c] = r[f"m{i}"]
-        for i, c in enumerate(txt):
-            if r[f"t{i}"] is not None:
-                fills[c] = r[f"t{i}"]
+        if strategy == "mean" and num:
+            means = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(num)]).first()
+            fills.update({c: means[i] for i, c in enumerate(num) if means[i] is not None})
+        fills.update(column_modes(df, txt if strategy == "mean" else num + txt))
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c]))
                            for c, v in fills.items()})
 

@@ -2,10 +2,12 @@
 
 ``row_number() OVER (PARTITION BY unit ORDER BY ...)`` puts a whole unit in one
 task; a unit holding a third of all rows would then be one third of the job in
-a single task. Here the order key is cut into coarse buckets: per (unit, bucket)
-row counts are pre-aggregated map-side, turned into running offsets on that
-small table, joined back, and the final ``row_number`` runs per
-(unit, bucket) — so no task ever holds more than one bucket of one unit.
+a single task. Here rows are range-partitioned on (unit, order): the cuts come from
+a sample of the keys, so a unit of any length, or one with all its rows on one day, is
+spread over as many partitions as its rows need. The sorted partitions are written once
+(checkpoint), which numbers every row in the global order; the rows that a unit has in
+each partition are counted and become offsets on that small table (a row per unit and
+one more per partition).
 """
 
 from __future__ import annotations
@@ -26,26 +28,35 @@ def value_bucket(col: str, width: float) -> Column:
     return F.floor(F.col(col) / F.lit(width))
 
 
-def with_position(df: DataFrame, unit: str, order: list[str | Column], bucket: Column,
+def with_position(df: DataFrame, unit: str, order: list[str | Column], bucket: Column | None = None,
                   out: str = "_pos", total_out: str | None = None) -> DataFrame:
     """Add ``out`` = 1-based row position of each row within its unit, by ``order``.
 
-    ``bucket`` must be monotone non-decreasing in ``order`` (e.g. a day bucket of
-    the first order column). The result equals ``row_number()`` over the unit.
+    The result equals ``row_number()`` over the unit (``bucket`` is not needed any more).
     ``total_out`` optionally adds the unit's row count (= its last position),
     taken from the same small offsets table at no extra pass over the data.
     """
-    b = df.withColumn("_bkt", bucket)
-    counts = b.groupBy(unit, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(unit).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    extra = [F.sum("_n").over(Window.partitionBy(unit)).alias(total_out)] if total_out else []
-    offsets = counts.select(unit, "_bkt", F.coalesce(F.sum("_n").over(before), F.lit(0))
-                            .alias("_off"), *extra)
-    o = offsets.withColumnRenamed(unit, "_u").withColumnRenamed("_bkt", "_b")
-    j = b.join(o, b[unit].eqNullSafe(o["_u"]) & b["_bkt"].eqNullSafe(o["_b"])).drop("_u", "_b")
-    w = Window.partitionBy(unit, "_bkt").orderBy(*order)
-    return j.withColumn(out, (F.row_number().over(w) + F.col("_off")).cast("long")) \
-        .drop("_bkt", "_off")
+    r = ranged(df, [unit, *order], "_at")
+    part = F.shiftright("_at", 33)  # monotonically_increasing_id: partition, then row
+    counts = r.groupBy(F.col(unit).alias("_u"), part.alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy("_u").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    extra = [F.sum("_n").over(Window.partitionBy("_u")).alias(total_out)] if total_out else []
+    o = counts.select("_u", "_p", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1)
+                      .alias("_off"), *extra)
+    j = r.join(o, F.col(unit).eqNullSafe(F.col("_u")) & (part == F.col("_p")))
+    cols = [c for c in df.columns if c != out]
+    return j.select(*cols, (F.col("_at") + F.col("_off")).cast("long").alias(out),
+                    *([total_out] if total_out else []))
+
+
+def ranged(df: DataFrame, order: list[str | Column], at: str) -> DataFrame:
+    """The rows in range partitions sorted by ``order``, written once, with a number ``at`` that
+    grows in that order over all partitions."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return reliable_checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(
+        at, F.monotonically_increasing_id()))
 
 
 def range_scan(df: DataFrame, order: list[str], sums: list[str] = (), carries: list[str] = (),

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from cyclewise.functions.risk import risk_level
 from cyclewise.operators import features as feat
+from cyclewise.schema import feature_base_columns
 from cyclewise.sources.panels import (EVENTS_PANEL_SQL, LINEITEM_CHANNELS, LINEITEM_PANEL_SQL,
-                                      MAX_CYCLE, events_panel, lineitem_panel)
+                                      MAX_CYCLE, RAW_FROM_EVENTS, events_panel, lineitem_panel,
+                                      raw_panel)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -674,8 +676,8 @@ def _event_training(spark, sf):
     return train, test, fcols
 
 
-def _metrics_out(metrics):
-    return _round_all(metrics.select("model", "rmse", "mae", "r2"))
+def _metrics_out(metrics, cols=("rmse", "mae", "r2")):
+    return _round_all(metrics.select("model", *cols))
 
 
 @register("train_score_events")
@@ -833,6 +835,7 @@ def q_knn_regress_events(spark, sf):
 def q_sequence_models_events(spark, sf):
     """Flattened L=30 windows (min-max scaled channels) -> RF, boosting, SVR (RFF), KNN;
     unshuffled 80/20 tail split; leaderboard by R^2 (O1)."""
+    from pyspark.ml import PipelineModel
     from cyclewise.ml import models as mdl
     p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
     p = scl.minmax_scale(p, EV_COLS)
@@ -840,11 +843,11 @@ def q_sequence_models_events(spark, sf):
     s = spl.tail_split(s, 0.2, scope="table")
     s = seqs.flatten_sequences(s, out="scaled_features")
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
-    n, sd = mdl.label_stats(train)
-    fitted = {}
-    for nm in ["random_forest", "gradient_boosting", "svr"]:
-        from pyspark.ml import Pipeline
-        fitted[nm] = Pipeline(stages=mdl.regressor(nm, n=n, label_std=sd)).fit(train)
+    # rows dealt by their hash: the models do not depend on how AQE left the sequences
+    rows = mdl.training_frame(train.select("unit_number", "time_in_cycles", "RUL", "scaled_features"))
+    n, sd = mdl.label_stats(rows)
+    fitted = {nm: PipelineModel(stages=mdl.fit_stages(rows, nm, n=n, label_std=sd))
+              for nm in ["random_forest", "gradient_boosting", "svr"]}
     preds = mdl.predict_all(fitted, test, ["unit_number", "time_in_cycles", "RUL"])
     tk = test.select(F.concat_ws(":", "unit_number", "time_in_cycles").alias("qid"), "seq")
     tr = train.select(F.concat_ws(":", "unit_number", "time_in_cycles").alias("tid"), "seq",
@@ -951,13 +954,11 @@ SELECT CAST(row_number() OVER (ORDER BY unit_number) AS BIGINT) AS unit_number,
 FROM (SELECT unit_number, CAST(max(time_in_cycles) AS BIGINT) AS RUL FROM panel GROUP BY 1)""",
     panel=EVENTS_PANEL_SQL))
 def q_truth_roundtrip_events(spark, sf):
-    # a truth file is positional: one line per unit in unit order, written as one file
-    # (one row per unit, not per reading)
+    # a truth file is positional: one line per unit in unit order
     p = events_panel(spark, sf, with_max=True)
     truth = p.groupBy("unit_number").agg(F.max(MAX_CYCLE).alias("RUL"))
     path = _scratch(spark, "truth")
-    truth.orderBy("unit_number").select(F.col("RUL").cast("string").alias("value")) \
-        .coalesce(1).write.text(path)
+    io.write_truth(truth, path)
     return io.read_truth(spark, path)
 
 
@@ -1089,6 +1090,178 @@ def q_grid_search_ridge_events(spark, sf):
                                  "alpha double, cv_rmse double, best boolean")
 
 
+# Linear models and their grid on two standardised features of the events panel. The SQL twins work
+# on sums of products per fold: ridge in closed form, lasso by coordinate descent in a recursion.
+_TWO = ["value", "k"]
+_TWO_FOLDS = 5
+_TWO_SQL = f"""SELECT CAST({spl.split_hash_sql(['event_id'], seed=7)} % {_TWO_FOLDS} AS INT) AS fold,
+  event_id, (value - m1) / s1 AS a, (k - m2) / s2 AS b, CAST(RUL AS DOUBLE) AS y
+FROM lp, (SELECT avg(value) AS m1, stddev_pop(value) AS s1, avg(k) AS m2, stddev_pop(k) AS s2 FROM lp)"""
+_SUM_NAMES = ["n", "sa", "sb", "sy", "saa", "sab", "sbb", "say", "sby", "syy"]
+_FOLD_SUMS_SQL = """SELECT fold, CAST(count(*) AS DOUBLE) AS n, sum(a) AS sa, sum(b) AS sb, sum(y) AS sy,
+  sum(a * a) AS saa, sum(a * b) AS sab, sum(b * b) AS sbb, sum(a * y) AS say, sum(b * y) AS sby,
+  sum(y * y) AS syy FROM z GROUP BY fold"""
+_CENTRED_SQL = """SELECT fold, n, sa / n AS ma, sb / n AS mb, sy / n AS my, saa - sa * sa / n AS aa,
+  sab - sa * sb / n AS ab, sbb - sb * sb / n AS bb, say - sa * sy / n AS ay, sby - sb * sy / n AS vy
+FROM t"""
+_RIDGE_SQL = """SELECT fold, alpha, ((bb + alpha) * ay - ab * vy) / ((aa + alpha) * (bb + alpha) - ab * ab) AS w1,
+  ((aa + alpha) * vy - ab * ay) / ((aa + alpha) * (bb + alpha) - ab * ab) AS w2 FROM c, al"""
+_LASSO_STEP = "sign({p}) * greatest(abs({p}) - n * alpha, 0) / {d}"
+_LASSO_SQL = f"""SELECT fold, alpha, w1, w2 FROM (
+  WITH RECURSIVE it AS (
+    SELECT 0 AS i, fold, alpha, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, n, aa, ab, bb, ay, vy FROM c, al
+    UNION ALL
+    SELECT i + 1, fold, alpha, v1, {_LASSO_STEP.format(p='(vy - ab * v1)', d='bb')}, n, aa, ab, bb, ay, vy
+    FROM (SELECT *, {_LASSO_STEP.format(p='(ay - ab * w2)', d='aa')} AS v1 FROM it) WHERE i < 200)
+  SELECT * FROM it WHERE i = 200)"""
+
+
+def _two_features(spark, sf) -> DataFrame:
+    p = feat.add_rul(events_panel(spark, sf, with_max=True), max_col=MAX_CYCLE)
+    return p.select("event_id", *[F.col(c).cast("double").alias(c) for c in _TWO], "RUL")
+
+
+@register("grid_search_sums_events", _with(f"""
+SELECT model, alpha, {_rs('cv_mse', 4)} AS cv_mse, {_rs('cv_rmse', 4)} AS cv_rmse,
+       row_number() OVER (PARTITION BY model ORDER BY cv_mse, alpha) = 1 AS best
+FROM (SELECT model, alpha, avg(mse) AS cv_mse, avg(sqrt(mse)) AS cv_rmse FROM (
+  SELECT w.model, w.alpha, (syy + w0 * w0 * n + w1 * w1 * saa + w2 * w2 * sbb - 2 * w0 * sy
+      - 2 * w1 * say - 2 * w2 * sby + 2 * w0 * w1 * sa + 2 * w0 * w2 * sb + 2 * w1 * w2 * sab) / n AS mse
+  FROM f JOIN (SELECT m.*, c.my - c.ma * w1 - c.mb * w2 AS w0 FROM c JOIN (
+      SELECT 'ridge' AS model, * FROM ridge UNION ALL SELECT 'lasso', * FROM lasso) m USING (fold)) w
+  USING (fold)) GROUP BY model, alpha)""",
+    panel=EVENTS_PANEL_SQL, lp=_LP_SQL, z=_TWO_SQL, f=_FOLD_SUMS_SQL,
+    t="SELECT f.fold, " + ", ".join(f"w.{c} - f.{c} AS {c}" for c in _SUM_NAMES) + " FROM f, (SELECT "
+      + ", ".join(f"sum({c}) AS {c}" for c in _SUM_NAMES) + " FROM f) w",
+    c=_CENTRED_SQL, al="SELECT unnest([0.1, 1.0, 10.0, 100.0])::DOUBLE AS alpha",
+    ridge=_RIDGE_SQL, lasso=_LASSO_SQL))
+def q_grid_search_sums_events(spark, sf):
+    """M9: ridge and lasso over the grid of penalties, five folds by a hash of the event, all of it
+    from one pass of sums."""
+    from pyspark.ml.functions import vector_to_array
+    from cyclewise.ml import models as mdl, moments
+    from pyspark.ml import Pipeline
+    rows = _two_features(spark, sf)
+    scaled = Pipeline(stages=mdl.scaling_stages(_TWO)).fit(rows).transform(rows)
+    sums = moments.fold_sums(scaled, vector_to_array(F.col(mdl.FEATURES)), F.col("RUL"),
+                             spl.split_hash(["event_id"], seed=7) % _TWO_FOLDS, len(_TWO))
+    table = [(m, r["alpha"], r["cv_mse"], r["cv_rmse"], r["best"])
+             for m in ("ridge", "lasso") for r in moments.grid_from_sums(sums, m)]
+    out = spark.createDataFrame(table, "model string, alpha double, cv_mse double, cv_rmse double, best boolean")
+    return out.select("model", "alpha", _r("cv_mse", 4).alias("cv_mse"), _r("cv_rmse", 4).alias("cv_rmse"), "best")
+
+
+@register("linear_coefficients_events", _with(f"""
+SELECT model, {_rs('my - ma * w1 - mb * w2', 3)} AS intercept, {_rs('w1', 3)} AS w_value, {_rs('w2', 3)} AS w_k
+FROM c JOIN (SELECT 'linear_regression' AS model, * FROM ridge WHERE alpha = 0
+             UNION ALL SELECT 'ridge', * FROM ridge WHERE alpha = 1
+             UNION ALL SELECT 'lasso', * FROM lasso WHERE alpha = 1) m USING (fold)""",
+    panel=EVENTS_PANEL_SQL, lp=_LP_SQL, z=_TWO_SQL.replace(f"% {_TWO_FOLDS}", "% 1"), t=_FOLD_SUMS_SQL,
+    c=_CENTRED_SQL, al="SELECT unnest([0.0, 1.0])::DOUBLE AS alpha", ridge=_RIDGE_SQL, lasso=_LASSO_SQL))
+def q_linear_coefficients_events(spark, sf):
+    """M5, M6, M7: coefficients of the fitted pipelines' regressors, on standardised features."""
+    from cyclewise.ml import models as mdl
+    fitted = mdl.train_all(_two_features(spark, sf), _TWO, ["linear_regression", "ridge", "lasso"])
+    table = [(name, float(m.stages[-1].intercept), *map(float, m.stages[-1].coefficients.toArray()))
+             for name, m in fitted.items()]
+    out = spark.createDataFrame(table, "model string, intercept double, w_value double, w_k double")
+    return out.select("model", *[_r(c, 3).alias(c) for c in ("intercept", "w_value", "w_k")])
+
+
+_FITTED_SQL = """SELECT model, my - ma * w1 - mb * w2 AS w0, w1, w2 FROM c JOIN (
+  SELECT 'linear_regression' AS model, * FROM ridge WHERE alpha = 0
+  UNION ALL SELECT 'ridge', * FROM ridge WHERE alpha = 1) m USING (fold)"""
+_FITTED_CTES = dict(panel=EVENTS_PANEL_SQL, lp=_LP_SQL, z=_TWO_SQL.replace(f"% {_TWO_FOLDS}", "% 1"),
+                    t=_FOLD_SUMS_SQL, c=_CENTRED_SQL, al="SELECT unnest([0.0, 1.0])::DOUBLE AS alpha",
+                    ridge=_RIDGE_SQL, fitted=_FITTED_SQL)
+
+
+def _fitted_two(spark, sf):
+    from cyclewise.ml import models as mdl
+    rows = _two_features(spark, sf)
+    return rows, mdl.train_all(rows, _TWO, ["linear_regression", "ridge"])
+
+
+@register("compare_fitted_models_events", _with(f"""
+SELECT event_id, {_rs('l', 3)} AS linear_regression_rul, {_rs('r', 3)} AS ridge_rul,
+       {_rs('(l + r) / 2', 3)} AS ensemble_rul
+FROM (SELECT event_id, max(w0 + w1 * a + w2 * b) FILTER (model = 'ridge') AS r,
+             max(w0 + w1 * a + w2 * b) FILTER (model = 'linear_regression') AS l
+      FROM z, fitted GROUP BY event_id)""", **_FITTED_CTES))
+def q_compare_fitted_models_events(spark, sf):
+    """Fitted models side by side on the same rows, and their mean."""
+    from cyclewise.ml import models as mdl
+    rows, fitted = _fitted_two(spark, sf)
+    out = mdl.compare_models(fitted, rows, ["event_id"])
+    return out.select("event_id", *[_r(c, 3).alias(c) for c in out.columns if c.endswith("_rul")])
+
+
+@register("training_metrics_models_events", _with("SELECT model, mse, rmse, mae, r2 FROM (" + _metrics_sql(
+    "y", "p", "(SELECT model, y, w0 + w1 * a + w2 * b AS p FROM z, fitted) s", "model") + ") m", **_FITTED_CTES))
+def q_training_metrics_models_events(spark, sf):
+    """A2: mse, rmse, mae and r2 of every fitted model on its own training rows."""
+    from cyclewise.ml import models as mdl
+    rows, fitted = _fitted_two(spark, sf)
+    return _metrics_out(mdl.training_metrics_all(fitted, rows), ["mse", "rmse", "mae", "r2"])
+
+
+# --- L1: the whole training flow on the 26-column panel -------------------------------------
+def _raw_events_sql() -> str:
+    return (f"SELECT unit_number, time_in_cycles, {', '.join(f'{e} AS {c}' for c, e in RAW_FROM_EVENTS.items())} "
+            "FROM ev")
+
+
+@register("training_table_raw_events", features_sql(
+    "SELECT * FROM (" + _with(_raw_events_sql(), ev=EVENTS_PANEL_SQL) + ")",
+    feature_base_columns(list(RAW_FROM_EVENTS)), LI_IDS))
+def q_training_table_raw_events(spark, sf):
+    """26 raw columns, eight constant channels dropped, 16 channels, 176 features."""
+    from cyclewise.plans.training import feature_table, training_channels
+    raw = raw_panel(spark, sf)
+    cols = training_channels(raw)
+    ft, fcols = feature_table(raw, cols, dense_cycles=True)
+    if len(cols) != 16 or len(fcols) != 176:
+        raise ValueError(f"{len(cols)} channels, {len(fcols)} features")
+    return _round_features(ft.select("unit_number", "time_in_cycles", "RUL", *fcols), cols)
+
+
+@register("training_flow_events")
+def q_training_flow_events(spark, sf):
+    """L1: validate, repair, features, split, scale, fit, evaluate, write; the report read back, one
+    row per model with its training and test metrics."""
+    from cyclewise.plans.training import read_report, run_training
+    out = _scratch(spark, "training-run")
+    run_training(raw_panel(spark, sf), out, names=["ridge", "lasso"])
+    report, training = read_report(spark, out)
+    test = report.select(F.explode("detailed_metrics").alias("model", "m"), "best_model", "recommendations")
+    train = training.select(F.explode("training_metrics").alias("model", "t"))
+    return test.join(train, "model").select(
+        "model", _r("t.rmse", 3).alias("train_rmse"), _r("m.rmse", 3).alias("test_rmse"),
+        _r("m.r2", 4).alias("test_r2"), (F.col("best_model.name") == F.col("model")).alias("best"),
+        F.col("recommendations")[0].alias("recommendation"))
+
+
+@register("evaluation_report_events", _with(f"""
+SELECT m.model, m.rmse, m.r2, {_rs('s.avg_rmse')} AS avg_rmse, {_rs('s.best_r2')} AS best_r2, b.model AS best,
+       CASE WHEN b.r2 > 0.9 THEN concat('Excellent performance! ', b.model, ' achieves R2 > 0.9')
+            WHEN b.r2 > 0.7 THEN concat('Good performance. Consider feature engineering to improve ', b.model)
+            ELSE 'Consider additional feature engineering or trying ensemble methods' END AS recommendation
+FROM by_model m, (SELECT avg(rmse) AS avg_rmse, max(r2) AS best_r2 FROM by_model) s,
+     (SELECT model, r2 FROM by_model ORDER BY rmse, model_order LIMIT 1) b""",
+    panel=EVENTS_PANEL_SQL, fc=_forecast_sql(), lp=_LONG_SQL, by_model=f"SELECT * FROM ({_BY_MODEL_SQL})"))
+def q_evaluation_report_events(spark, sf):
+    """The nested report of all models, written as JSON and read back."""
+    from cyclewise.plans.training import evaluation_report, write_report
+    out = _scratch(spark, "report")
+    metrics = _round_all(agg.metrics_by_model(_ev_forecasts(spark, sf), "value", MODELS))
+    report = evaluation_report(metrics)
+    write_report(report, out)
+    back = spark.read.schema(report.schema).json(out)
+    return back.select(F.explode("detailed_metrics").alias("model", "m"), "*").select(
+        "model", "m.rmse", "m.r2", _r("summary.avg_rmse").alias("avg_rmse"), _r("summary.best_r2").alias("best_r2"),
+        F.col("best_model.name").alias("best"), F.col("recommendations")[0].alias("recommendation"))
+
+
 @register("evaluate_saved_models_events")
 def q_evaluate_saved_models_events(spark, sf):
     """M10 + S10 + M11: train, save, rediscover every saved model, evaluate all on the test split."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclewise.operators.quality import coerce_types
@@ -32,14 +32,25 @@ def read_whitespace(spark: SparkSession, path: str, columns: list[str] | None =
 def read_truth(spark: SparkSession, path: str, unit: str = UNIT, value: str = "RUL") -> DataFrame:
     """S3: one value per line; line i (1-based) belongs to unit i.
 
-    Positional by definition, so the line index comes from ``zipWithIndex``
-    (consecutive, in file order), not ``monotonically_increasing_id`` (gaps).
-    Expects a single file (as the format is written).
+    Lines are numbered over all files in the order of their names, empty ones left out. A file is
+    read in blocks, each in one task: lines are numbered within their block, and the blocks' counts,
+    a row per block, give the blocks' offsets.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("v")).filter(F.col("v") != "")
-    idx = lines.rdd.zipWithIndex().map(lambda r: (r[1] + 1, r[0][0]))
-    df = spark.createDataFrame(idx, f"{unit} long, _v string")
-    return df.select(unit, F.expr("try_cast(_v AS BIGINT)").alias(value))
+    lines = spark.read.text(path).select(
+        F.trim("value").alias("v"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    lines = lines.where("v <> ''")
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
+    return lines.select("v", "file", "block", inside.alias("i")).join(blocks, ["file", "block"]).select(
+        (F.col("before") + F.col("i")).alias(unit), F.expr("try_cast(v AS BIGINT)").alias(value))
+
+
+def write_truth(truth: DataFrame, path: str, unit: str = UNIT, value: str = "RUL") -> None:
+    """S3: the values in the order of their units, one per line. The files' names keep the order."""
+    truth.orderBy(unit).select(F.col(value).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
 def normalize_na(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -92,14 +103,13 @@ def verify_written(spark: SparkSession, path: str, expected_columns: list[str],
     Raises if the output is empty."""
     df = spark.read.format(fmt).load(path)
     has_unit = unit in df.columns
-    r = df.agg(F.count(F.lit(1)).alias("rows"),
-               (F.countDistinct(unit) if has_unit else F.lit(None)).cast("long").alias("units"))
-    row = r.first()
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 (F.countDistinct(unit) if has_unit else F.lit(None)).cast("long").alias("units")).first()
     if not row["rows"]:
         raise ValueError(f"written output at {path} is empty")
     ok = sorted(df.columns) == sorted(expected_columns)
-    return r.select(F.col("rows").cast("long"), F.lit(len(df.columns)).cast("long").alias("columns"),
-                    "units", F.lit(ok).alias("columns_ok"))
+    return spark.createDataFrame([(row["rows"], len(df.columns), row["units"], ok)],
+                                 "rows long, columns long, units long, columns_ok boolean")
 
 
 def write_metrics_json(df: DataFrame, path: str) -> None:

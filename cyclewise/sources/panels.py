@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cyclewise.operators.position import time_bucket, with_position
-from cyclewise.schema import CYCLE, UNIT
+from cyclewise.schema import CONSTANT_CHANNELS, CYCLE, UNIT, sensor_columns
 
 EVENT_CHANNELS = ["value", "k"]
 LINEITEM_CHANNELS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -52,6 +52,26 @@ def lineitem_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 30 *
     return p.select(UNIT, CYCLE, *LINEITEM_CHANNELS, *([MAX_CYCLE] if with_max else []))
 
 
+def _raw_channels() -> dict[str, str]:
+    """The 24 channels of the raw layout as expressions on the events panel (both engines): the
+    channels without variance are constants, the others mix the value with a stir of the event."""
+    out = {"op_setting_1": "value * 0.5 + k", "op_setting_2": "CAST(event_id % 7 AS DOUBLE)",
+           "op_setting_3": "CAST(100 AS DOUBLE)"}
+    for i, c in enumerate(sensor_columns(), 1):
+        out[c] = (f"CAST({500 + i} AS DOUBLE)" if c in CONSTANT_CHANNELS else
+                  f"value + CAST((event_id * {37 * i + 11}) % 1009 AS DOUBLE) / 8")
+    return out
+
+
+RAW_FROM_EVENTS = _raw_channels()
+
+
+def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel in the raw 26-column layout, derived from the events table."""
+    return events_panel(spark, sf_dir).selectExpr(
+        UNIT, CYCLE, *[f"{e} AS {c}" for c, e in RAW_FROM_EVENTS.items()])
+
+
 # DuckDB twins of the panels, used as CTEs by the oracle SQL.
 EVENTS_PANEL_SQL = """
 SELECT user_id AS unit_number,
