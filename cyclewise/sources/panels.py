@@ -55,11 +55,11 @@ def lineitem_panel(spark: SparkSession, sf_dir: str, bucket_seconds: int = 30 *
 def _raw_channels() -> dict[str, str]:
     """The 24 channels of the raw layout as expressions on the events panel (both engines): the
     channels without variance are constants, the others mix the value with a stir of the event."""
-    out = {"op_setting_1": "value * 0.5 + k", "op_setting_2": "CAST(event_id % 7 AS DOUBLE)",
+    out = {"op_setting_1": "value + k", "op_setting_2": "CAST(event_id % 7 AS DOUBLE)",
            "op_setting_3": "CAST(100 AS DOUBLE)"}
     for i, c in enumerate(sensor_columns(), 1):
         out[c] = (f"CAST({500 + i} AS DOUBLE)" if c in CONSTANT_CHANNELS else
-                  f"value + CAST((event_id * {37 * i + 11}) % 1009 AS DOUBLE) / 8")
+                  f"value + CAST((event_id * {37 * i + 11}) % 1009 AS DOUBLE)")
     return out
 
 
