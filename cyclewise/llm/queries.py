@@ -161,8 +161,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_ngram_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_components(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_shingles", "component_id", "n_links")
+    return ngram_join.similar_components(table(spark, sf_dir, "documents"), count_links=False).select(
+        "doc_id", "n_shingles", "component_id", "class_id")
 
 
 OP8_SQL = r"""

@@ -338,6 +338,36 @@ def test_join_matches_brute_force(spark, docs, monkeypatch, few, rounds):
     assert got == brute_join([t for _, t in rows], [i for i, _ in rows])
 
 
+@pytest.mark.parametrize("pool,k,percent", [(0.0, 4, 85), (0.3, 4, 85), (20.0, 4, 85), (0.3, 5, 80)])
+def test_join_does_not_depend_on_the_pool(spark, docs, monkeypatch, pool, k, percent):
+    """However few or many shingles are counted first, and however texts share passages."""
+    monkeypatch.setattr(ngram_join, "POOL", pool)
+    rng = random.Random(3)
+    rows = list(zip(docs.doc_id, docs.text))
+    passage = " ".join(f"p{i}" for i in range(40))
+    for i in range(60):  # own words around one passage: most without partner, some near copies
+        own = " ".join(f"o{i // 3}_{j}" for j in range(rng.choice([3, 60, 400])))
+        rows.append((2000 + i, f"{passage} {own}" + (" x" if i % 2 else "")))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in run(ngram_join.similar_components(df, k=k, percent=percent, count_links=False))}
+    assert got == brute_join([t for _, t in rows], [i for i, _ in rows], k, percent)
+
+
+def test_runs_of_sorted_rows():
+    import pyarrow as pa
+    rng = np.random.default_rng(0)
+    for _ in range(300):
+        t = np.sort(rng.integers(0, rng.integers(1, 12), rng.integers(0, 40)))
+        c = np.arange(len(t))
+        cuts = np.sort(rng.integers(0, len(t) + 1, rng.integers(0, 6)))
+        parts = [pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)), pa.array(y.astype(np.int64))], names=["token", "c"])
+                 for x, y in zip(np.split(t, cuts), np.split(c, cuts))]
+        got = [np.concatenate(x) if x else np.empty(0) for x in (list(zip(*ngram_join._runs(iter(parts)))) or ([], [], []))]
+        size = np.array([(t == v).sum() if t[0] != v != t[-1] else 0 for v in t])
+        assert got[0].tolist() == t.tolist() and got[1].tolist() == c.tolist() and got[2].tolist() == size.tolist()
+
+
 def test_join_odd_rows(spark, odd):
     got = run(ngram_join.similar_components(odd))
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in got) == [
