@@ -12,7 +12,7 @@ row that is repeated very often costs no task more than its copies.
 
 Defined cases: rows with a null key share one key; a null text has no bytes; an empty table
 gives an empty result; equal rows get different slots; input columns named like an output
-column are replaced by it.
+column, in any case, are replaced by it.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 BUCKETS = 4096
+MADE = {"shard", "grown_shard", "slot"}
 
 
 def _least(key: Column, weights: list[float]) -> Column:
@@ -47,43 +48,38 @@ def shard_column(key: str | Column, weights: int | list[float]) -> Column:
     return _least(F.coalesce(key.cast("string"), F.lit("")), w)
 
 
-def assign_shards(df: DataFrame, key: str, weights: int | list[float]) -> DataFrame:
-    """Adds ``shard`` and ``grown_shard`` (the shard with one more, of mean weight)."""
-    w = [1.0] * weights if isinstance(weights, int) else list(weights)
-    grown = [*w, sum(w) / len(w)]
-    keep = [F.col(f"`{c}`") for c in df.columns if c not in ("shard", "grown_shard")]
-    return df.select(*keep, shard_column(key, w).alias("shard"),
-                     shard_column(key, grown).alias("grown_shard"))
-
-
-def add_slots(df: DataFrame, key: str, shard: str = "shard", buckets: int = BUCKETS) -> DataFrame:
-    """Adds ``slot``: 0, 1, 2, ... within each shard, in the order of the key's hash."""
-    rest = [c for c in df.columns if c != "slot"]
-    order = F.xxhash64(F.lit("slot"), *[F.col(f"`{c}`") for c in rest])
-    rows = df.select(*[F.col(f"`{c}`") for c in rest], order.alias("__order"))
-    rows = rows.withColumn("__bucket", F.pmod("__order", F.lit(buckets)).cast("int"))
-    same = rows.groupBy(*[F.col(f"`{c}`") for c in (*rest, "__order", "__bucket")]).agg(
-        F.count(F.lit(1)).alias("__n"))
-    counts = rows.groupBy(F.col(f"`{shard}`").alias("__s"), F.col("__bucket").alias("__b")).agg(
-        F.count(F.lit(1)).alias("__rows"))
-    before = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("__s", "__b", F.coalesce(F.sum("__rows").over(before),
-                                                    F.lit(0)).alias("__offset"))
-    inside = (Window.partitionBy(shard, "__bucket")
-              .orderBy("__order", *[F.col(f"`{c}`") for c in rest if c != shard])
-              .rowsBetween(Window.unboundedPreceding, -1))
-    placed = same.join(counts, (F.col(f"`{shard}`") == F.col("__s"))
-                       & (F.col("__bucket") == F.col("__b")))
-    placed = placed.withColumn("__first", F.col("__offset")
-                               + F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-    return placed.select(*[F.col(f"`{c}`") for c in rest], F.explode(
-        F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1)).alias("slot"))
-
-
 def shard_documents(docs: DataFrame, key: str = "doc_id", weights: int | list[float] = 40,
                     buckets: int = BUCKETS) -> DataFrame:
-    """All columns of ``docs`` plus shard, grown_shard and slot."""
-    return add_slots(assign_shards(docs, key, weights), key, buckets=buckets)
+    """All columns of ``docs`` plus shard, grown_shard (the shard with one more, of mean weight)
+    and slot: 0, 1, 2, ... within each shard, in the order of the rows' hashes.
+
+    Equal rows meet once, by a SHA-256 of all their columns, which also orders them; counts and
+    offsets follow on hashes alone and come back to the rows by the same hash."""
+    w = [1.0] * weights if isinstance(weights, int) else list(weights)
+    grown = [*w, sum(w) / len(w)]
+    kept = [(k, c) for k, c in enumerate(docs.columns) if c.lower() not in MADE]
+    plain = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    whole = F.struct(*[F.col(f"_{k}") for k, _ in kept])
+    of = F.col(f"_{docs.columns.index(key)}")
+    hashed = plain.select(
+        F.unhex(F.sha2(F.to_json(whole).cast("binary"), 256)).alias("__h"), whole.alias("__row"),
+        shard_column(of, w).alias("__shard"), shard_column(of, grown).alias("__grown"))
+    light = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__n"), F.first("__shard").alias("__shard"))
+    light = light.withColumn("__bucket", F.pmod(F.xxhash64("__h"), F.lit(buckets)).cast("int"))
+    counts = light.groupBy("__shard", "__bucket").agg(F.sum("__n").alias("__rows"))
+    before = Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("__shard", "__bucket", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    inside = Window.partitionBy("__shard", "__bucket").orderBy("__h").rowsBetween(Window.unboundedPreceding, -1)
+    placed = light.withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(
+        counts, ["__shard", "__bucket"]).select(
+        F.col("__h").alias("__of"), "__n", (F.col("__offset") + F.col("__inside")).alias("__first"))
+    # the only shuffle of whole rows; copies meet before it
+    rows = hashed.groupBy("__h").agg(*[F.first(c).alias(c) for c in ("__row", "__shard", "__grown")]).join(
+        placed, F.col("__h") == F.col("__of"))
+    return rows.select(
+        *[F.col(f"__row._{k}").alias(c) for k, c in kept], F.col("__shard").alias("shard"),
+        F.col("__grown").alias("grown_shard"),
+        F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__n") - 1)).alias("slot"))
 
 
 def document_size(text: str = "text") -> Column:
