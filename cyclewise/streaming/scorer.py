@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from cyclewise.functions.risk import risk_level
+from cyclewise.functions.risk import clamp_rul, risk_level
 from cyclewise.operators.features import feature_names, lag_name, rolling_names
 from cyclewise.plans.scoring import complete_features
 from cyclewise.schema import CYCLE, LAGS, UNIT, WINDOWS
@@ -39,16 +39,23 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def score_stream(stream: DataFrame, model, callback: Callable[[DataFrame, int], None],
-                 checkpoint: str) -> int:
+                 checkpoint: str, online: bool = False) -> int:
     """Score every micro-batch with ``model`` and hand it to ``callback(preds, batch_id)``,
     every row of it: one with incomplete features or a NaN result has a NULL prediction.
+    ``online`` answers as the serving path does: ``risk_level`` bands the raw prediction, and
+    the prediction itself is at least 0.
     Runs until the source is drained; returns the number of batches processed."""
     seen = []
 
     def each(batch: DataFrame, batch_id: int):
         out = model.transform(batch)
         p = F.when(complete_features(model, out) & ~F.isnan("prediction"), F.col("prediction"))
-        callback(out.withColumn("prediction", p), batch_id)
+        out = out.withColumn("prediction", p)
+        if online:
+            known = F.col("prediction").isNotNull()
+            out = out.withColumn("risk_level", F.when(known, risk_level("prediction"))).withColumn(
+                "prediction", F.when(known, clamp_rul("prediction")))
+        callback(out, batch_id)
         seen.append(batch_id)
 
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint) \

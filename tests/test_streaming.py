@@ -70,3 +70,21 @@ def test_stream_score_returns_every_row(spark):
     bare = got.time_in_cycles <= 12
     assert bare.any() and (got.predicted_rul.isna() == bare).all() and (got.risk_level.isna() == bare).all()
     assert (got.unscored_count == bare.sum()).all()
+
+
+def test_online_scoring_clamps_the_value_and_bands_the_raw_one(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+    from cyclewise.streaming.scorer import read_stream, score_stream
+    rows = [(1, -7.5), (2, 0.0), (3, 19.0), (4, 120.0), (5, None)]
+    spark.createDataFrame(rows, "id long, x double").coalesce(1).write.parquet(str(tmp_path / "in"))
+    model = PipelineModel(stages=[
+        VectorAssembler(inputCols=["x"], outputCol="features", handleInvalid="keep"),
+        SQLTransformer(statement="SELECT *, x AS prediction FROM __THIS__")])
+    got = []
+    n = score_stream(read_stream(spark, str(tmp_path / "in"), "id long, x double"), model,
+                     lambda df, k: got.extend(df.select("id", "prediction", "risk_level").collect()),
+                     str(tmp_path / "ck"), online=True)
+    assert n == 1
+    assert sorted(map(tuple, got)) == [(1, 0.0, "CRITICAL"), (2, 0.0, "CRITICAL"), (3, 19.0, "CRITICAL"),
+                                       (4, 120.0, "LOW"), (5, None, None)]
