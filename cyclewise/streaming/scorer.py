@@ -5,8 +5,8 @@
   (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``), ``Trigger.AvailableNow``
   drains the tail, and the true number of batches is reported.
 * ``stream_features`` (T2): lag / rolling features on a stream. Window functions
-  are not allowed on streams, so each unit keeps its last ``H`` rows in state
-  (``applyInPandasWithState``); a row whose cycle is not after the unit's last
+  are not allowed on streams, so the last ``H`` rows of each unit are kept in state, in
+  buckets of units (``applyInPandasWithState``); a row whose cycle is not after the unit's last
   seen cycle, or repeats one of its batch, is dropped and counted.
 * ``stream_risk_counts`` (T3): continuous count per risk band.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from cyclewise.functions.risk import clamp_rul, risk_level
-from cyclewise.operators.features import feature_names, lag_name, rolling_names
+from cyclewise.operators.features import feature_names, rolling_arrays
 from cyclewise.plans.scoring import complete_features
 from cyclewise.schema import CYCLE, LAGS, UNIT, WINDOWS
 
@@ -99,22 +99,21 @@ def rolling_mean_std(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mean, std
 
 
-def _state_schema(cols):
-    return T.StructType([T.StructField("last_cycle", T.LongType()),
-                         T.StructField("late", T.LongType()),
-                         T.StructField("hist_cycle", T.ArrayType(T.LongType())),
-                         *[T.StructField(f"hist_{i}", T.ArrayType(T.DoubleType()))
-                           for i in range(len(cols))]])
+BUCKETS = 256  # groups of units that share a state row: Spark's cost per group is milliseconds
+_NEVER = -1 << 63
+_STATE = T.StructType([T.StructField(c, T.BinaryType())
+                       for c in ("units", "last", "late", "rows", "cycles", "values")])
 
 
 def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDOWS,
                     unit: str = UNIT, cycle: str = CYCLE, timeout: str | None = None,
-                    dropped: str | None = None) -> DataFrame:
+                    dropped: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Per-unit lag / rolling features over a stream of (unit, cycle, cols...).
 
     Output: (unit, cycle, cols..., features...) for each accepted row, equal to the
     batch ``window_features`` on the same rows when every unit's cycles arrive in order.
     ``dropped`` names an output column with the unit's rows dropped so far, late or repeated.
+    Units are kept together in ``buckets`` by a hash; with a ``timeout`` each is on its own.
     """
     lags, windows = list(lags), list(windows)
     keep = max([1] + lags + [n - 1 for n in windows])
@@ -124,61 +123,70 @@ def stream_features(stream: DataFrame, cols: list[str], lags=LAGS, windows=WINDO
         + [T.StructField(c, T.DoubleType()) for c in cols]
         + [T.StructField(n, T.DoubleType()) for n in names]
         + ([T.StructField(dropped, T.LongType())] if dropped else []))
-    state_schema = _state_schema(cols)
 
     def fn(key, pdfs, state):
         if state.hasTimedOut:
             state.remove()
             return
-        new = pd.concat(list(pdfs), ignore_index=True).sort_values(cycle, kind="stable")
+        parts = [(p["_u"].to_numpy(np.int64), p["_at"].to_numpy(np.int64), p[cols].to_numpy(np.float64))
+                 for p in pdfs]
+        u, at, x = (np.concatenate(c) for c in zip(*parts))
         if state.exists:
-            s = state.get
-            last, late = s[0], s[1]
-            hist = pd.DataFrame({cycle: list(s[2]), **{c: list(s[3 + i]) for i, c in enumerate(cols)}})
+            units, last, late, held, cycles = (np.frombuffer(b, np.int64) for b in state.get[:5])
+            values = np.frombuffer(state.get[5]).reshape(len(cycles), len(cols))
         else:
-            last, late = None, 0
-            hist = pd.DataFrame({cycle: pd.Series([], dtype="int64"),
-                                 **{c: pd.Series([], dtype="float64") for c in cols}})
-        if last is not None:
-            ok = new[cycle] > last
-            late += int((~ok).sum())
-            new = new[ok]
-        first = ~new.duplicated(subset=[cycle])
-        late += int((~first).sum())
-        new = new[first]
-        if len(new):
-            both = pd.concat([hist, new[[cycle, *cols]]], ignore_index=True)
-            for c in cols:
-                both[c] = both[c].astype("float64")
-            feats = {}
-            for c in cols:
-                for k in lags:
-                    feats[lag_name(c, k)] = both[c].shift(k)
-            for c in cols:
-                for n in windows:
-                    m, sd = rolling_names(c, n)
-                    mean, std = rolling_mean_std(both[c].to_numpy(dtype="float64"), n)
-                    feats[m], feats[sd] = pd.Series(mean), pd.Series(std)
-            res = pd.concat([both, pd.DataFrame(feats)], axis=1).iloc[len(hist):]
-            res.insert(0, unit, key[0])
-            tail = both.iloc[-keep:]
-            last = int(both[cycle].iloc[-1])
-            state.update((last, late, [int(v) for v in tail[cycle]],
-                          *[[None if pd.isna(v) else float(v) for v in tail[c]] for c in cols]))
-            if timeout:
-                state.setTimeoutDuration(timeout)
-            res = res.replace({np.nan: None})
-            if dropped:
-                res[dropped] = late
-            yield res[[unit, cycle, *cols, *names, *([dropped] if dropped else [])]]
-        elif state.exists:
-            s = state.get
-            state.update((s[0], late, *s[2:]))
-
-    base = stream.select(F.col(unit).cast("long").alias(unit), F.col(cycle).cast("long").alias(cycle),
+            units = last = late = held = cycles = np.zeros(0, np.int64)
+            values = np.zeros((0, len(cols)))
+        # the bucket's units, those of this batch included
+        every = np.union1d(units, u)
+        old = np.searchsorted(every, units)
+        last_of, late_of = np.full(len(every), _NEVER), np.zeros(len(every), np.int64)
+        last_of[old], late_of[old] = last, late
+        order = np.lexsort((at, u))
+        u, at, x = u[order], at[order], x[order]
+        mine = np.searchsorted(every, u)
+        ok = at > last_of[mine]
+        ok[1:] &= (u[1:] != u[:-1]) | (at[1:] != at[:-1])
+        late_of += np.bincount(mine[~ok], minlength=len(every))
+        # rows in the order of (unit, cycle), each unit's kept ones before its new ones
+        place = np.concatenate([np.repeat(old, held), mine[ok]])
+        cycles, values = np.concatenate([cycles, at[ok]]), np.concatenate([values, x[ok]])
+        new = np.arange(len(place)) >= len(place) - int(ok.sum())
+        order = np.lexsort((cycles, place))
+        place, cycles, values, new = place[order], cycles[order], values[order], new[order]
+        size = np.bincount(place, minlength=len(every))
+        seen = np.arange(len(place)) - (np.cumsum(size) - size)[place]
+        ends = np.cumsum(size)[size > 0] - 1
+        last_of[place[ends]] = cycles[ends]
+        stays = size[place] - seen <= keep
+        state.update(tuple(a.tobytes() for a in (
+            every, last_of, late_of, np.minimum(size, keep), cycles[stays], values[stays])))
+        if timeout:
+            state.setTimeoutDuration(timeout)
+        if not new.any():
+            return
+        padded = np.pad(values.T, ((0, 0), (keep, 0)), constant_values=np.nan)
+        known = ~np.isnan(padded)
+        feats = [np.where(seen >= k, padded[c, keep - k:keep - k + len(seen)], np.nan)
+                 for c in range(len(cols)) for k in lags]
+        rolled = [rolling_arrays(padded, known, seen, n) for n in windows]
+        for c in range(len(cols)):
+            for mean, std, count in rolled:
+                feats += [np.where(count[c] > 0, mean[c], np.nan), np.where(count[c] > 1, std[c], np.nan)]
+        res = pd.DataFrame(np.column_stack([values, *feats])[new], columns=[*cols, *names])
+        res.insert(0, cycle, cycles[new])
+        res.insert(0, unit, None if key[1] else every[place[new]])
+        if dropped:
+            res[dropped] = late_of[place[new]]
+        yield res
+
+    base = stream.select(F.col(unit).cast("long").alias("_u"), F.col(cycle).cast("long").alias("_at"),
                          *[F.col(c).cast("double").alias(c) for c in cols])
+    bucket = F.col("_u") if timeout else F.pmod(F.xxhash64("_u"), F.lit(buckets))
+    base = base.select(F.coalesce(bucket, F.lit(0)).alias("_bucket"), F.col("_u").isNull().alias("_none"),
+                       F.coalesce("_u", F.lit(0)).alias("_u"), F.coalesce("_at", F.lit(_NEVER)).alias("_at"), *cols)
     to = GroupStateTimeout.ProcessingTimeTimeout if timeout else GroupStateTimeout.NoTimeout
-    return base.groupBy(unit).applyInPandasWithState(fn, out_schema, state_schema, "append", to)
+    return base.groupBy("_bucket", "_none").applyInPandasWithState(fn, out_schema, _STATE, "append", to)
 
 
 def stream_risk_counts(stream: DataFrame, p: str = "predicted_rul") -> DataFrame:

@@ -88,3 +88,37 @@ def test_online_scoring_clamps_the_value_and_bands_the_raw_one(spark, tmp_path):
     assert n == 1
     assert sorted(map(tuple, got)) == [(1, 0.0, "CRITICAL"), (2, 0.0, "CRITICAL"), (3, 19.0, "CRITICAL"),
                                        (4, 120.0, "LOW"), (5, None, None)]
+
+
+def test_units_of_a_bucket_keep_their_own_state(spark, tmp_path):
+    """Many units, one without a name, share two buckets: calls of the function follow the buckets,
+    and features, gaps and dropped rows stay those of each unit."""
+    from cyclewise.streaming import scorer
+    rng = np.random.default_rng(4)
+    schema = "unit_number long, time_in_cycles long, s double"
+    rows = [(u, c, None if rng.integers(9) == 0 else float(rng.normal()))
+            for u in [None, *range(1, 40)] for c in range(1, 26)]
+    for lo, hi in [(1, 9), (10, 10), (11, 25)]:
+        part = [r for r in rows if lo <= r[1] <= hi] + ([(7, 3, 1.0), (None, 2, 1.0)] if lo == 10 else [])
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
+    st = stream_features(read_stream(spark, str(tmp_path / "src"), schema), ["s"], [1, 6], [5, 20],
+                         dropped="dropped", buckets=2)
+    assert "_bucket" in st._jdf.queryExecution().toString() and scorer.BUCKETS < 1000
+    st.writeStream.format("parquet").option("path", str(tmp_path / "out")) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    want = feat.window_features(spark.createDataFrame(rows, schema), ["s"], [1, 6], [5, 20], dense_cycles=True)
+    bits = lambda df: sorted(tuple(v.hex() if isinstance(v, float) else repr(v) for v in r)
+                             for r in df.collect())
+    assert bits(got.drop("dropped")) == bits(want)
+    late = {(r.unit_number, r.dropped) for r in got.where("time_in_cycles > 10").collect()}
+    assert late == {(u, int(u in (7, None))) for u in [None, *range(1, 40)]}
+
+
+def test_replay_reads_each_slice_alone(spark, tmp_path):
+    from cyclewise.sources.streams import replay_as_files
+    df = spark.createDataFrame([(u, d, u + d) for u in range(1, 9) for d in range(1, 4)], "u long, d long, v long")
+    assert replay_as_files(df, str(tmp_path / "src"), "d", "u", 2) == 3
+    files = spark.read.parquet(str(tmp_path / "src")).select("*", F.input_file_name().alias("f")).collect()
+    assert sorted((r.u, r.v) for r in files) == sorted((u, u + d) for u in range(1, 9) for d in range(1, 4))
+    assert all(len({r.v - r.u for r in files if r.f == f}) == 1 for f in {r.f for r in files})
