@@ -354,6 +354,27 @@ def test_join_does_not_depend_on_the_pool(spark, docs, monkeypatch, pool, k, per
     assert got == brute_join([t for _, t in rows], [i for i, _ in rows], k, percent)
 
 
+def test_join_drops_far_pairs_where_postings_meet(spark):
+    """Texts that share a shingle by chance make no row; near ones do."""
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 2**64 - 1, 200, np.uint64)) for _ in range(30)]
+    sets.append(np.unique(np.append(sets[0][:195], sets[1][:5])))
+    side = [(i, 200 << 31, [int(x) for x in ngram_join.sketch(s)]) for i, s in enumerate(sets)]
+    rows = [(*x, *y) for x in side for y in side if x[0] < y[0]]
+    df = spark.createDataFrame(rows, "a long, anp long, asketch array<long>, b long, bnp long, bsketch array<long>")
+    assert run(ngram_join._filtered(df, 85)) == [{"a": 0, "b": 30, "times": 1}]
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_sketches_differ_no_more_than_sets(percent):
+    rng = np.random.default_rng(percent)
+    for n in (1, 5, 60, 4000):
+        a = np.unique(rng.integers(0, 2**64 - 1, n, np.uint64))
+        b = np.unique(np.append(a[rng.integers(0, 10, len(a)) > 0], rng.integers(0, 2**64 - 1, n // 10, np.uint64)))
+        differ = sum(int(x).bit_count() for x in (ngram_join.sketch(a) ^ ngram_join.sketch(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_runs_of_sorted_rows():
     import pyarrow as pa
     rng = np.random.default_rng(0)
