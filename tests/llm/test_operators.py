@@ -389,6 +389,26 @@ def test_runs_of_sorted_rows():
         assert got[0].tolist() == t.tolist() and got[1].tolist() == c.tolist() and got[2].tolist() == size.tolist()
 
 
+def test_join_of_a_large_group_grows_with_its_rows(spark, monkeypatch):
+    """Near copies of one text: the pairs that meet are a few per posting, not the group's square."""
+    met, filtered = [], ngram_join._filtered
+
+    def counted(pairs, percent):
+        out = filtered(pairs, percent)
+        met.append(out.selectExpr("sum(times)").first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(ngram_join, "_filtered", counted)
+    base, size = [f"w{i}" for i in range(200)], {}
+    for m in (30, 120):
+        met.clear()
+        texts = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1:])) for i in range(10, 10 + m)]
+        got = run(ngram_join.similar_components(spark.createDataFrame(texts, "doc_id long, text string"), count_links=False))
+        assert len(got) == m and {r["component_id"] for r in got} == {10}
+        size[m] = sum(met)
+    assert size[120] <= 6 * size[30]
+
+
 def test_join_odd_rows(spark, odd):
     got = run(ngram_join.similar_components(odd))
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in got) == [
