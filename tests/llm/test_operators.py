@@ -409,6 +409,42 @@ def test_join_of_a_large_group_grows_with_its_rows(spark, monkeypatch):
     assert size[120] <= 6 * size[30]
 
 
+def broadcasts(df):
+    """(joins that a table of keys is sent to every task for, joins that a sieve is sent for)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("BroadcastHashJoin"), plan.count("BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("n,bits", [(0, 1 << 26), (900, 1 << 26), (5000, 1 << 26), (5000, 1 << 10)])
+def test_many_keys_are_not_broadcast(spark, monkeypatch, n, bits):
+    """Beyond the bound a sieve of fixed size is sent, and the same rows are found."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_KEYS", 1000)
+    monkeypatch.setattr(ngram_join, "SIEVE_BITS", bits)
+    frame = spark.range(20_000).selectExpr("xxhash64(id) AS h", "id")
+    keys = spark.createDataFrame([(i,) for i in range(n)], "k long").selectExpr("xxhash64(k * 3) AS wanted")
+    inside, outside = ngram_join.among(frame, keys, "h"), ngram_join.without(frame, keys, "h")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert broadcasts(inside) == ((0, 1) if n > 1000 else (1, 0))
+        assert broadcasts(outside) == ((0, 2) if n > 1000 else (1, 0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = set(range(0, min(3 * n, 20_000), 3))
+    assert {r["id"] for r in run(inside)} == want
+    assert sorted(r["id"] for r in run(outside)) == sorted(set(range(20_000)) - want)
+
+
+def test_join_with_sieves_matches_brute_force(spark, docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BROADCAST_KEYS", 0)
+    rows = list(zip(docs.doc_id, docs.text))
+    rows += [(i + 5000, t) for i, t in rows[:40]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+           for r in run(ngram_join.similar_components(df, count_links=False))}
+    assert got == brute_join([t for _, t in rows], [i for i, _ in rows])
+
+
 def test_join_odd_rows(spark, odd):
     got = run(ngram_join.similar_components(odd))
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in got) == [
